@@ -22,7 +22,8 @@ def exact_ranks(
     A target is a fraction and a function from the group's row count to the 0-based rank wanted near
     that fraction. A quantile sketch brackets each rank within a guaranteed error; one more pass
     counts the rows below each bracket and the distinct values inside it, and only those few values
-    are ordered. Ties cost one row.
+    are ordered. Ties cost one row. Groups of at most ten rows per unit of accuracy are ordered as
+    they are.
     """
     rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     slack = 2.0 / accuracy
@@ -36,12 +37,13 @@ def exact_ranks(
         F.percentile_approx("_v", low + high, accuracy).alias("_q"),
     )
     k = len(names)
+    small = F.col("n") <= 10 * accuracy
     brackets = F.array(
         *[
             F.struct(
                 F.lit(t).alias("target"),
-                (F.col("_min") if low[i] == 0 else F.col("_q")[i]).alias("lo"),
-                (F.col("_max") if high[i] == 1 else F.col("_q")[k + i]).alias("hi"),
+                F.when(small | F.lit(low[i] == 0), F.col("_min")).otherwise(F.col("_q")[i]).alias("lo"),
+                F.when(small | F.lit(high[i] == 1), F.col("_max")).otherwise(F.col("_q")[k + i]).alias("hi"),
                 targets[t][1](F.col("n")).cast("bigint").alias("rank"),
             )
             for i, t in enumerate(names)

@@ -3,6 +3,8 @@
 from tidemark.plans import (  # noqa: F401
     drift,
     ingest,
+    metrics,
     prepare,
+    serving,
 )
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401
