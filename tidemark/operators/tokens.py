@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
+from tidemark.session import spread
 
 # A vocabulary up to this many tokens (some tens of MB) is broadcast; a larger one is shuffled.
 BROADCAST_TOKENS = 1_000_000
@@ -13,7 +14,8 @@ BROADCAST_TOKENS = 1_000_000
 
 def exploded(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
     """One row per token occurrence; the text itself is not carried along."""
-    return df.select(key, *keep, F.explode(tokens(F.col(text))).alias("token"))
+    texts = spread(df.select(key, *keep, text))
+    return texts.select(key, *keep, F.explode(tokens(F.col(text))).alias("token"))
 
 
 def token_counts(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
@@ -23,7 +25,7 @@ def token_counts(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
 
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Distinct tokens of the training texts."""
-    return df.select(F.explode(tokens(F.col(text))).alias("token")).distinct()
+    return spread(df.select(text)).select(F.explode(tokens(F.col(text))).alias("token")).distinct()
 
 
 def oov_rates(
@@ -36,7 +38,7 @@ def oov_rates(
     one meets token counts that were folded per text before the shuffle on the token.
     """
     known = vocab.select("token", F.lit(True).alias("known"))
-    words = df.select(key, *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
+    words = spread(df.select(key, *keep, text)).select(key, *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
     if vocab.count() <= broadcast_limit:
         joined = words.withColumn("cnt", F.lit(1)).join(F.broadcast(known), "token", "left")
     else:

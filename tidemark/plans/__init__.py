@@ -6,5 +6,6 @@ from tidemark.plans import (  # noqa: F401
     metrics,
     prepare,
     serving,
+    summaries,
 )
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401

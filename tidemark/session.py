@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -51,3 +53,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than cores (one small file, say).
+
+    A table of ordinary size has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = pathlib.Path(__file__).resolve().parent
+        target = f"{tempfile.mkdtemp(prefix='tidemark-')}/{package.name}"
+        context.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
