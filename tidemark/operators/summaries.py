@@ -62,8 +62,10 @@ def beat_bar(scored: DataFrame, adapter: str, base: str) -> DataFrame:
 def rouge_n(pairs: DataFrame, keys: list[str], candidate: str, reference: str, n: int) -> DataFrame:
     """ROUGE-N per pair: n-grams of both sides are counted in one grouping, no join."""
     def side(column: str, mark: int) -> DataFrame:
-        grams = F.explode_outer(ngrams(summary_tokens(F.col(column)), n))
-        return pairs.select(*keys, grams.alias("gram"), F.lit(mark).alias("side"))
+        words = pairs.select(*keys, summary_tokens(F.col(column)).alias("w"))
+        return words.select(
+            *keys, F.explode_outer(ngrams(F.col("w"), n)).alias("gram"), F.lit(mark).alias("side")
+        )
 
     present = F.col("gram").isNotNull()
     counts = (

@@ -2,8 +2,10 @@
 
 from tidemark.plans import (  # noqa: F401
     drift,
+    governance,
     ingest,
     metrics,
+    models,
     prepare,
     serving,
     summaries,
