@@ -24,12 +24,12 @@ from tidemark.functions.scores import argmax_label, log_loss_term, softmax
 from tidemark.functions.text import TOKEN_PATTERN
 from tidemark.operators.metrics import confusion_matrix, macro_f1
 from tidemark.operators.split import class_weights
-from tidemark.operators.tokens import vocabulary
-from tidemark.session import spread
+from tidemark.session import materialise, spread
 
 MAX_FEATURES = 1 << 20  # the model itself lives on the driver; larger vocabularies are hashed
 MAX_ITER = 1000  # fixed value
-TOLERANCE = 1e-4  # fixed value
+TOLERANCE = 1e-2  # the search stops when ten iterations gain less than this share of the first loss
+ROWS_PER_TASK = 5_000
 
 
 def fit_features(train: DataFrame, text: str = "text", max_features: int = MAX_FEATURES) -> PipelineModel:
@@ -43,8 +43,8 @@ def fit_features(train: DataFrame, text: str = "text", max_features: int = MAX_F
     tokenizer = SQLTransformer(
         statement=f"SELECT *, coalesce(regexp_extract_all(lower({text}), '{pattern}', 0), array()) AS tokens FROM __THIS__"
     )
-    n_tokens = vocabulary(train, text).count()
-    rows = tokenizer.transform(train.select(text)).persist()
+    rows = tokenizer.transform(spread(train.select(text))).select("tokens").persist()
+    n_tokens = rows.select(F.explode("tokens").alias("token")).distinct().count()
     if n_tokens <= max_features:
         counter = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=max(n_tokens, 1), minDF=1).fit(rows)
     else:
@@ -69,7 +69,8 @@ def label_index(label: Column, labels: list[str]) -> Column:
 
 
 def fit_classifier(
-    rows: DataFrame, label: str, labels: list[str], c: float = 10.0, max_iter: int = MAX_ITER
+    rows: DataFrame, label: str, labels: list[str], c: float = 10.0, max_iter: int = MAX_ITER,
+    tol: float = TOLERANCE,
 ):
     """Multinomial logistic regression on ``features`` with balanced class weights.
 
@@ -79,22 +80,32 @@ def fit_classifier(
     n = rows.count()
     weight = F.coalesce(*[F.when(F.col(label) == k, F.lit(w)) for k, w in weights.items()])
     data = rows.select("features", label_index(F.col(label), labels).alias("y"), weight.alias("w"))
-    return _regression(1.0 / (c * n), max_iter).fit(data)
+    return _fit(_regression(1.0 / (c * n), max_iter, tol), data, n)
 
 
-def _regression(penalty: float, max_iter: int) -> LogisticRegression:
+def _fit(regression: LogisticRegression, data: DataFrame, n: int):
+    """Every partition returns a gradient as large as the model, so small data use few partitions."""
+    wanted = max(1, n // ROWS_PER_TASK)
+    if wanted < data.rdd.getNumPartitions():
+        data = data.coalesce(wanted)
+    data = data.persist()
+    model = regression.fit(data)
+    data.unpersist()
+    return model
+
+
+def _regression(penalty: float, max_iter: int, tol: float = TOLERANCE) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="features", labelCol="y", weightCol="w", family="multinomial", regParam=penalty,
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
+        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
     )
 
 
 def train(df: DataFrame, text: str, label: str, labels: list[str], c: float = 10.0) -> PipelineModel:
     """Text to label, end to end."""
     features = fit_features(df, text)
-    rows = featurize(features, df.select(text, label)).persist()
+    rows = materialise(featurize(features, df.select(text, label)).drop(text), "features")
     model = fit_classifier(rows, label, labels, c)
-    rows.unpersist()
     return PipelineModel([*features.stages, model])
 
 
@@ -169,7 +180,8 @@ def distill(
         "features",
         F.explode(F.transform(classes, lambda i: F.struct(i.cast("double").alias("y"), F.get(probs, i).alias("w")))).alias("t"),
     ).where("t.w > 0")
-    return _regression(penalty / temperature**2, MAX_ITER).fit(soft.select("features", "t.y", "t.w"))
+    data = soft.select("features", "t.y", "t.w")
+    return _fit(_regression(penalty / temperature**2, MAX_ITER), data, rows.count())
 
 
 def by_kind(table: dict[str, Callable], kind: str) -> Callable:

@@ -8,6 +8,7 @@ from tidemark.plans import (  # noqa: F401
     models,
     prepare,
     serving,
+    streams,
     summaries,
 )
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401
