@@ -51,8 +51,11 @@ def test_tokens_and_oov_on_both_paths(spark):
 def test_tfidf_matches_the_definition(spark):
     texts = ["up up down", "down flat", "flat flat flat rise"]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
-    n = df.agg(F.count("*")).scalar()
-    got = {(r["k"], r["token"]): r["weight"] for r in token_ops.tfidf(token_ops.token_counts(df, "k", "text"), n, "k").collect()}
+    got, other = [
+        {(r["k"], r["token"]): r["weight"] for r in token_ops.tfidf(df, "k", "text", broadcast_limit=limit).collect()}
+        for limit in (0, 100)
+    ]
+    assert got == other
     bags = [t.split() for t in texts]
     for k, bag in enumerate(bags):
         raw = {w: bag.count(w) * (math.log(4 / (1 + sum(w in b for b in bags))) + 1) for w in set(bag)}
@@ -93,8 +96,9 @@ def test_blocked_windows_equal_plain_ones(spark):
     rng = random.Random(3)
     data = [("hot" if rng.random() < 0.8 else "cold", i, rng.randrange(100)) for i in range(500)]
     df = spark.createDataFrame(data, "k string, t int, v int").withColumn("b", F.expr("t div 37"))
-    got = blocked.running_max(df, ["k"], ["t"], "b", "m", F.col("v"))
-    got = blocked.running_sums(got, ["k"], ["t"], "b", {"s": F.col("v"), "i": F.lit(1)})
+    got = blocked.running(
+        df, ["k"], ["t"], "b", sums={"s": F.col("v"), "i": F.lit(1)}, maxima={"m": F.col("v")}
+    )
     seen: dict = {}
     want = {}
     for k, t, v in sorted(data, key=lambda r: r[1]):

@@ -18,38 +18,34 @@ def time_block(ts: Column, seconds: int = 600) -> Column:
     return F.floor(F.unix_timestamp(ts) / F.lit(seconds))
 
 
-def _with_carry(df: DataFrame, keys: list[str], block: str, agg, values: dict[str, Column]) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    parts = df.groupBy(*keys, block).agg(*[agg(v).alias(f"_part_{n}") for n, v in values.items()])
-    carry = parts.select(
-        *keys, block, *[agg(F.col(f"_part_{n}")).over(before).alias(f"_carry_{n}") for n in values]
-    )
-    return df.join(carry, [*keys, block])
-
-
-def running_max(
-    df: DataFrame, keys: list[str], order: list[str], block: str, name: str, value: Column
+def running(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    block: str,
+    sums: dict[str, Column] | None = None,
+    maxima: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Adds the largest ``value`` among the rows before each row; null when there is none.
+    """Adds running sums (each row included) and running maxima (each row left out; null at first).
 
-    With ``value`` a struct that begins with the order columns this is the last such row, so it also
-    serves as ``lag`` and, with nulls for rows to skip, as the last marked row.
+    A maximum over structs that begin with the order columns is the last such row, so it also serves
+    as ``lag`` and, with nulls for rows to skip, as the last marked row. All columns share one carry
+    table and one sort.
     """
-    inside = (
-        Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sums, maxima = sums or {}, maxima or {}
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, block).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = inside.rowsBetween(Window.unboundedPreceding, -1)
+    parts = df.groupBy(*keys, block).agg(
+        *[F.sum(v).alias(f"_part_{n}") for n, v in sums.items()],
+        *[F.max(v).alias(f"_part_{n}") for n, v in maxima.items()],
     )
-    return (
-        _with_carry(df, keys, block, F.max, {name: value})
-        .withColumn(name, F.greatest(f"_carry_{name}", F.max(value).over(inside)))
-        .drop(f"_carry_{name}")
+    carry = parts.select(
+        *keys, block,
+        *[F.sum(f"_part_{n}").over(before).alias(f"_carry_{n}") for n in sums],
+        *[F.max(f"_part_{n}").over(before).alias(f"_carry_{n}") for n in maxima],
     )
-
-
-def running_sums(
-    df: DataFrame, keys: list[str], order: list[str], block: str, values: dict[str, Column]
-) -> DataFrame:
-    """Adds, per entry of ``values``, its sum over the rows up to and including each row."""
-    inside = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = _with_carry(df, keys, block, F.sum, values)
-    sums = {n: F.coalesce(f"_carry_{n}", F.lit(0)) + F.sum(v).over(inside) for n, v in values.items()}
-    return out.withColumns(sums).drop(*[f"_carry_{n}" for n in values])
+    added = {n: F.coalesce(f"_carry_{n}", F.lit(0)) + F.sum(v).over(upto) for n, v in sums.items()}
+    added |= {n: F.greatest(f"_carry_{n}", F.max(v).over(ahead)) for n, v in maxima.items()}
+    return df.join(carry, [*keys, block]).withColumns(added).drop(*[f"_carry_{n}" for n in added])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import BINS, drift_band, entropy, psi_from_counts, unit_bin
-from tidemark.operators.blocked import running_sums
+from tidemark.operators.blocked import running
 
 PSI_THRESHOLD = 0.2
 KS_ALPHA = 0.05
@@ -85,8 +85,8 @@ def ks_two_sample(samples: DataFrame, value: str, side: str, *groups: str) -> Da
     keyed = keys or ["_all"]
     if not keys:
         counted = counted.withColumn("_all", F.lit(0))
-    pair = running_sums(
-        counted, keyed, [value], "_block", {"cum_r": F.col("r"), "cum_c": F.col("c")}
+    pair = running(
+        counted, keyed, [value], "_block", sums={"cum_r": F.col("r"), "cum_c": F.col("c")}
     )
     totals = counted.groupBy(*keyed).agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     gap = F.max(F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur")))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocked import running_max, time_block
+from tidemark.operators.blocked import running, time_block
 from tidemark.operators.registry import dossiers
 from tidemark.session import materialise
 
@@ -125,7 +125,7 @@ def gate_sequence(
     order = ["ts", "seq"]
     eligible = rows.where("_static is null").withColumn("_block", time_block(F.col("ts"), block_seconds))
     bar = F.coalesce(F.col("incumbent_score") + F.col("margin"), F.col("floor"))
-    records = running_max(eligible, ["model"], order, "_block", "_best", F.col("score")).where(
+    records = running(eligible, ["model"], order, "_block", maxima={"_best": F.col("score")}).where(
         (F.col("_best").isNull() | (F.col("score") >= F.col("_best"))) & (F.col("score") >= bar)
     )
     accepted = _accepted(
@@ -136,7 +136,7 @@ def gate_sequence(
     )
     marks = accepted.select("model", "seq", F.struct("ts", "seq", "version", "score").alias("_won"))
     marked = eligible.join(marks, ["model", "seq"], "left")
-    known = running_max(marked, ["model"], order, "_block", "_last", F.col("_won"))
+    known = running(marked, ["model"], order, "_block", maxima={"_last": F.col("_won")})
     decided = _decide(
         known, F.col("_static"),
         F.coalesce("_last.version", "incumbent_version"), F.coalesce("_last.score", "incumbent_score"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocked import running_max, running_sums, time_block
+from tidemark.operators.blocked import running, time_block
 from tidemark.operators.ranks import exact_median, exact_ranks, floor_rank
+from tidemark.session import materialise
 
 WARMUP_STEPS = 10  # fixed value
 PERCENTILES = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
@@ -67,13 +68,12 @@ def step_times(steps: DataFrame, run: str, ts: str, order: list[str], batch_size
         "_us", F.unix_micros(F.col(ts).cast("timestamp"))
     )
     ordered = F.struct(*order, "_us")
-    # Two running values over the same blocks: rows so far, and the row before.
-    rows = running_sums(rows, [run], order, "_block", {"step": F.lit(1)})
-    rows = running_max(rows, [run], order, "_block", "_prev", ordered)
+    rows = running(rows, [run], order, "_block", sums={"step": F.lit(1)}, maxima={"_prev": ordered})
     deltas = rows.where(F.col("step") > WARMUP_STEPS).select(
         run, ((F.col("_us") - F.col("_prev._us")) / 1e6).alias("step_s")
     )
-    out = exact_median(deltas, [run], "step_s", "median_step_s")
+    # Written once: the exact median reads the gaps twice.
+    out = exact_median(materialise(deltas, "step_gaps"), [run], "step_s", "median_step_s")
     return out.withColumn("samples_per_s", F.lit(float(batch_size)) / F.col("median_step_s"))
 
 

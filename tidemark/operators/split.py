@@ -29,13 +29,14 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = 42) -> Dat
         .withColumn("holdout", F.expr("(n * 30 + 99) div 100"))
         .withColumn("test", F.expr("(holdout + 1) div 2"))
     )
-    cuts = counts.select(
+    # Two rows per class; written, so that the next join is broadcast by its real size.
+    cuts = materialise(counts.select(
         "_c", "_p", F.expr("cum - m").alias("before"), "cum",
         F.explode(F.array(F.struct(F.lit("test").alias("cut"), F.col("test").alias("quota")),
                           F.struct(F.lit("val").alias("cut"), F.col("holdout").alias("quota")))).alias("q"),
     ).where("q.quota > before and q.quota <= cum").select(
         "_c", "_p", "q.cut", (F.col("q.quota") - F.col("before")).alias("rank")
-    )
+    ), "split_cuts")
     buckets = cuts.select("_c", "_p").distinct()
     inside = Window.partitionBy("_c", "_p").orderBy("_h", "_k")
     ranked = keys.join(buckets, ["_c", "_p"], "left_semi").withColumn("rn", F.row_number().over(inside))

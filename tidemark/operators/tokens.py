@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
-from tidemark.session import spread
+from tidemark.session import materialise, spread
 
 # A vocabulary up to this many tokens (some tens of MB) is broadcast; a larger one is shuffled.
 BROADCAST_TOKENS = 1_000_000
 
 
-def exploded(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
-    """One row per token occurrence; the text itself is not carried along."""
-    texts = spread(df.select(key, *keep, text))
-    return texts.select(key, *keep, F.explode(tokens(F.col(text))).alias("token"))
-
-
 def token_counts(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
-    """One row per (text, token) with its count; the map-side combine folds each text first."""
-    return exploded(df, key, text, *keep).groupBy(key, *keep, "token").agg(F.count("*").alias("cnt"))
+    """One row per (text, token) with its count; the text itself is not carried along.
+
+    Texts are partitioned by their key before they are cut into tokens, so the counts, and anything
+    else per text, need no further shuffle.
+    """
+    texts = df.select(key, *keep, text).repartition(key)
+    words = texts.select(key, *keep, F.explode(tokens(F.col(text))).alias("token"))
+    return words.groupBy(key, *keep, "token").agg(F.count("*").alias("cnt"))
 
 
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
@@ -57,18 +57,27 @@ def oov_rates(
     )
 
 
-def document_frequency(counts: DataFrame, n_texts: Column) -> DataFrame:
-    """Per token: number of texts that hold it and the smoothed inverse frequency."""
-    idf = F.ln((n_texts + 1) / (F.col("df") + 1)) + 1
-    return counts.groupBy("token").agg(F.count("*").alias("df")).withColumn("idf", idf)
+def document_frequency(df: DataFrame, text: str) -> DataFrame:
+    """Per token: number of texts that hold it and the smoothed inverse frequency.
+
+    A text's tokens are made distinct within its row, so only partial counts per token are shuffled.
+    """
+    n_texts = df.agg(F.count("*"))
+    held = spread(df.select(text)).select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
+    counts = held.groupBy("token").agg(F.count("*").alias("df")).withColumn("_n", n_texts.scalar())
+    return counts.withColumn("idf", F.ln((F.col("_n") + 1) / (F.col("df") + 1)) + 1).drop("_n")
 
 
-def tfidf(counts: DataFrame, n_texts: Column, key: str) -> DataFrame:
+def tfidf(df: DataFrame, key: str, text: str, broadcast_limit: int = BROADCAST_TOKENS) -> DataFrame:
     """Weights tf * idf scaled to unit length per text.
 
-    The window spans the distinct tokens of one text, never more than one row of input held.
+    With a vocabulary small enough to broadcast the texts are shuffled once, by key: counts, weights
+    and the norm (a window over the distinct tokens of one text) all keep that partitioning.
     """
-    weighted = counts.join(document_frequency(counts, n_texts), "token").withColumn(
+    frequency = materialise(document_frequency(df, text), "document_frequency")
+    if frequency.count() <= broadcast_limit:
+        frequency = F.broadcast(frequency)
+    weighted = token_counts(df, key, text).join(frequency, "token").withColumn(
         "raw", F.col("cnt") * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))

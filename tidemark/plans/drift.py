@@ -265,9 +265,7 @@ freq AS (
 
 @query("vocab_df", COUNTS + "SELECT token, df, round(idf, 6) AS idf FROM freq")
 def vocab_df(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    n = docs.agg(F.count("*")).scalar()
-    out = tokens.document_frequency(tokens.token_counts(docs, "doc_id", "text"), n)
+    out = tokens.document_frequency(table(spark, sf_dir, "documents"), "text")
     return out.withColumn("idf", F.round("idf", 6))
 
 
@@ -281,9 +279,7 @@ FROM counts JOIN freq USING (token)
 """,
 )
 def tfidf(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    n = docs.agg(F.count("*")).scalar()
-    out = tokens.tfidf(tokens.token_counts(docs, "doc_id", "text"), n, "doc_id")
+    out = tokens.tfidf(table(spark, sf_dir, "documents"), "doc_id", "text")
     return out.select("doc_id", "token", "cnt", "df", F.round("weight", 6).alias("weight"))
 
 

@@ -8,6 +8,7 @@ from tidemark.functions.text import hash_int
 from tidemark.operators import gate, lineage, registry, routing
 from tidemark.operators.scorers import RuleScorer
 from tidemark.plans.registry import query, table
+from tidemark.session import materialise
 
 
 def h(salt: str) -> str:
@@ -112,11 +113,11 @@ def requests(spark, sf_dir):
 def config(spark, sf_dir):
     models = candidates(spark, sf_dir).select("model").distinct().where("model <> 'm19'")
     m = F.col("model")
-    return models.select(
+    return materialise(models.select(
         "model", F.when(m != "m18", "frozen").alias("expected_hash"), F.lit("v1").alias("expected_schema"),
         F.lit(gate.MARGIN).alias("margin"), F.when(m == "m17", 0.0).otherwise(gate.FLOOR).alias("floor"),
         F.when(m == "m17", "ROUGE-L").otherwise("F1").alias("metric_label"),
-    )
+    ), "gate_config")
 
 
 @query(
