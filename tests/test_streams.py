@@ -10,8 +10,8 @@ KEYS = ["model", "version", "decision", "status", "reason", "previous_production
 def test_gate_stream_over_many_batches_equals_the_batch_gate(spark, tmp_path, rows):
     folder, requests, config, tags = promotion_files(spark, tmp_path)
     stream = jobs.read_files(spark, folder, requests.schema, per_batch=1)
-    jobs.decide_promotions(stream, config, tags, f"{tmp_path}/audit").awaitTermination()
-    audit = spark.read.parquet(f"{tmp_path}/audit")
+    jobs.decide_promotions(stream, config, tags, f"{tmp_path}/out").awaitTermination()
+    audit = spark.read.parquet(f"{tmp_path}/out/audit")
     assert audit.select("batch_id").distinct().count() == 4
     assert rows(audit.select(*KEYS)) == rows(gate.gate_sequence(requests, config, tags).select(*KEYS))
 

@@ -111,11 +111,11 @@ def stream_gate(spark, sf_dir):
         F.when(F.col("event_type") == "signup", "").otherwise("ops").alias("approved_by"), "ts",
         F.col("event_id").alias("seq"),
     )
-    path = new_path(spark, "audit")
+    path = new_path(spark, "promotions")
     jobs.decide_promotions(
         requests, governance.config(spark, sf_dir), governance.tag_events(spark, sf_dir), path
     ).awaitTermination()
-    return spark.read.parquet(path).select("model", "version", "decision", "status", "reason", "previous_production")
+    return spark.read.parquet(f"{path}/audit").select("model", "version", "decision", "status", "reason", "previous_production")
 
 
 @query("stream_delayed_accuracy", ORACLES["delayed_label_accuracy"])

@@ -118,21 +118,24 @@ def answer(
 def decide_promotions(
     stream: DataFrame, config: DataFrame, tags: DataFrame, path: str, checkpoint=None, trigger=NOW
 ) -> StreamingQuery:
-    """Promotion requests in order of arrival; the audit log is the state.
+    """Promotion requests in order of arrival: decisions to ``audit``, models in production to ``state``.
 
-    A micro-batch starts from the models promoted by the batches before it and runs the batch gate,
-    so a model with very many requests is spread over tasks like any other.
+    A micro-batch starts from the state that the batch before it left (one row per model), runs the
+    batch gate, and leaves its own. So no batch reads the history, and a model with very many
+    requests is spread over tasks like any other.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = None
-        if batch_id > 0:
-            audit = batch.sparkSession.read.parquet(path).where(F.col("batch_id") < batch_id)
-            known = registry.production_pointer(audit).join(registry.dossiers(tags, ["test_f1"]), ["model", "version"])
-            earlier = known.select(
-                "model", F.col("version").alias("incumbent_version"),
-                F.col("test_f1").cast("double").alias("incumbent_score"),
-            )
-        _write_batch(gate.gate_sequence(batch, config, tags, earlier), path, batch_id)
+        spark = batch.sparkSession
+        earlier = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}") if batch_id > 0 else None
+        _write_batch(gate.gate_sequence(batch, config, tags, earlier), f"{path}/audit", batch_id)
+        won = registry.production_pointer(spark.read.parquet(f"{path}/audit/batch_id={batch_id}"))
+        state = won.join(registry.dossiers(tags, ["test_f1"]), ["model", "version"]).select(
+            "model", F.col("version").alias("incumbent_version"),
+            F.col("test_f1").cast("double").alias("incumbent_score"),
+        )
+        if earlier is not None:
+            state = state.unionByName(earlier.join(won, "model", "left_anti"))
+        _write_batch(state, f"{path}/state", batch_id)
 
     return _batches(stream, write, checkpoint, trigger)
 
