@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     HashingTF,
     Normalizer,
@@ -24,6 +24,7 @@ from tidemark.functions.scores import argmax_label, log_loss_term, softmax
 from tidemark.functions.text import TOKEN_PATTERN
 from tidemark.operators.metrics import confusion_matrix, macro_f1
 from tidemark.operators.split import class_weights
+from tidemark.operators.tokens import document_frequency
 from tidemark.session import materialise, spread
 
 MAX_FEATURES = 1 << 20  # the model itself lives on the driver; larger vocabularies are hashed
@@ -43,18 +44,17 @@ def fit_features(train: DataFrame, text: str = "text", max_features: int = MAX_F
     tokenizer = SQLTransformer(
         statement=f"SELECT *, coalesce(regexp_extract_all(lower({text}), '{pattern}', 0), array()) AS tokens FROM __THIS__"
     )
-    rows = tokenizer.transform(spread(train.select(text))).select("tokens").persist()
-    n_tokens = rows.select(F.explode("tokens").alias("token")).distinct().count()
-    if n_tokens <= max_features:
-        counter = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=max(n_tokens, 1), minDF=1).fit(rows)
+    frequency = materialise(document_frequency(train, text), "feature_frequency")
+    if frequency.count() <= max_features:
+        known = frequency.orderBy("token").select("token", "idf").collect()
+        counter = CountVectorizerModel.from_vocabulary([r["token"] for r in known], "tokens", "tf")
+        weights = [r["idf"] for r in known]
     else:
         counter = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=max_features)
-    idf = IDF(inputCol="tf", outputCol="_idf").fit(counter.transform(rows))
-    rows.unpersist()
-    # Spark's idf is ln((1 + n) / (1 + df)); the usual smoothed form adds 1.
-    scale = ElementwiseProduct(
-        scalingVec=DenseVector(idf.idf.toArray() + 1.0), inputCol="tf", outputCol="_weighted"
-    )
+        hashed = counter.transform(tokenizer.transform(train.select(text)))
+        # Spark's idf is ln((1 + n) / (1 + df)); the usual smoothed form adds 1.
+        weights = IDF(inputCol="tf", outputCol="_idf").fit(hashed).idf.toArray() + 1.0
+    scale = ElementwiseProduct(scalingVec=DenseVector(weights), inputCol="tf", outputCol="_weighted")
     unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
     return PipelineModel([tokenizer, counter, scale, unit])
 

@@ -281,28 +281,3 @@ FROM counts JOIN freq USING (token)
 def tfidf(spark, sf_dir):
     out = tokens.tfidf(table(spark, sf_dir, "documents"), "doc_id", "text")
     return out.select("doc_id", "token", "cnt", "df", F.round("weight", 6).alias("weight"))
-
-
-
-
-@query(
-    "class_mix_shift",
-    """
-WITH d AS (SELECT lang, cast(concat('0x', substr(md5(concat('42:', doc_id)), 1, 8)) AS bigint) % 1000 AS b,
-                  source FROM documents),
-t AS (SELECT lang, count(*) AS n FROM d WHERE b < 700 GROUP BY lang),
-p AS (SELECT lang, count(*) AS n FROM d WHERE b >= 700 AND source IN ('src0', 'src1', 'src2', 'src3') GROUP BY lang),
-s AS (SELECT lang, coalesce(t.n, 0) AS n_train, coalesce(p.n, 0) AS n_pred,
-             coalesce(t.n, 0) / (SELECT sum(n) FROM t) AS train_share,
-             coalesce(p.n, 0) / (SELECT sum(n) FROM p) AS pred_share
-      FROM t FULL JOIN p USING (lang))
-SELECT lang, n_train, n_pred, round(train_share, 6) AS train_share, round(pred_share, 6) AS pred_share,
-       round(abs(pred_share - train_share), 6) AS shift, abs(pred_share - train_share) > 0.1 AS breach
-FROM s
-""",
-)
-def class_mix_shift(spark, sf_dir):
-    docs = bucketed_documents(spark, sf_dir)
-    live = docs.where("b >= 700").where(F.col("source").isin("src0", "src1", "src2", "src3"))
-    out = drift.class_mix_shift(docs.where("b < 700"), live, "lang")
-    return out.withColumns({c: F.round(c, 6) for c in ("train_share", "pred_share", "shift")})

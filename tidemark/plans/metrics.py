@@ -302,3 +302,26 @@ def delayed_label_accuracy(spark, sf_dir):
     )
     out = metrics.accuracy_with_delay(preds, truths, "event_id", 1800, 0.22, "model")
     return out.withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query(
+    "class_mix_shift",
+    PREDICTED
+    + """,
+t AS (SELECT gold AS label, count(*) AS n FROM d GROUP BY gold),
+p AS (SELECT other AS label, count(*) AS n FROM d GROUP BY other),
+s AS (SELECT label, coalesce(t.n, 0) AS n_train, coalesce(p.n, 0) AS n_pred,
+             coalesce(t.n, 0) / (SELECT sum(n) FROM t) AS train_share,
+             coalesce(p.n, 0) / (SELECT sum(n) FROM p) AS pred_share
+      FROM t FULL JOIN p USING (label))
+SELECT label, n_train, n_pred, round(train_share, 6) AS train_share, round(pred_share, 6) AS pred_share,
+       round(abs(pred_share - train_share), 6) AS shift, abs(pred_share - train_share) > 0.1 AS breach
+FROM s
+""",
+)
+def class_mix_shift(spark, sf_dir):
+    """The mix of predicted classes against the mix of labels."""
+    rows = predictions(spark, sf_dir)
+    labels, predicted = rows.select(F.col("gold").alias("label")), rows.select(F.col("other").alias("label"))
+    out = drift.class_mix_shift(labels, predicted, "label")
+    return out.withColumns({c: F.round(c, 6) for c in ("train_share", "pred_share", "shift")})
