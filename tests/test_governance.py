@@ -8,7 +8,6 @@ from tidemark.operators.scorers import BatchScorer, RuleScorer
 from tidemark.plans.heal_loop import heal
 
 CONFIG = "model string, expected_hash string, expected_schema string, margin double, floor double, metric_label string"
-REQUEST = "model string, version string, approved_by string, ts timestamp, seq bigint"
 NOW = "cast('2026-01-01' as timestamp)"
 
 

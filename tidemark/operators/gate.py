@@ -20,7 +20,6 @@ MARGIN = 0.01
 FLOOR = 0.40
 
 FOLD_LIMIT = 100_000  # rows of one model that may be folded in one array; beyond it, rounds
-DECISION = ["model", "version", "approved_by", "ts", "seq", "decision", "status", "reason", "previous_production"]
 
 
 def with_dossiers(requests: DataFrame, config: DataFrame, tags: DataFrame) -> DataFrame:

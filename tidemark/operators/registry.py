@@ -14,7 +14,6 @@ from tidemark.operators.fingerprint import table_fingerprint
 # The tags of a dossier and the kinds of model that may be registered.
 DOSSIER = ["test_f1", "eval_set_hash", "schema_version", "code_commit", "model_kind"]
 MODEL_KINDS = ["distilbert", "lora_adapter", "sklearn"]
-TAG_SCHEMA = "model string, version string, key string, value string, ts timestamp, seq bigint"
 
 
 def latest_tags(tags: DataFrame) -> DataFrame:

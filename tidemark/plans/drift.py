@@ -144,11 +144,6 @@ def oov_histogram(spark, sf_dir):
     return out.withColumn("bin", F.col("bin").cast("bigint"))
 
 
-KS_TAIL = """
-SELECT {keys} any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur,
-       max(abs(cum_r / n_ref - cum_c / n_cur)) AS ks
-"""
-
 P_VALUE = """
 CASE WHEN {lam} < 0.2 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101),
   lambda k: (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * ({lam}) * ({lam})))), 0.0), 1.0) END
