@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, quality, simhash, warc
+from tidemark.llm import chat, decontaminate, quality, simhash, suffix_dedup, warc
 from tidemark.plans.registry import table
 from tidemark.session import materialise, new_path
 
@@ -108,6 +108,15 @@ def simhash_query(spark, sf_dir):
     return groups.select("doc_id", simhash.hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query("op6_suffix_dedup")
+def suffix_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, keep_text=False)
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256"
+    )
+
+
 WARC_SQL = """
 WITH p AS (
   SELECT page_id, COALESCE(html, '') AS html, strlen(COALESCE(html, '')) AS n, sha1(COALESCE(html, '')) AS d FROM pages),
