@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, quality, simhash, suffix_dedup, warc
+from tidemark.llm import chat, decontaminate, line_dedup, quality, simhash, suffix_dedup, warc
 from tidemark.plans.registry import table
 from tidemark.session import materialise, new_path
 
@@ -117,6 +117,42 @@ def suffix_query(spark, sf_dir):
     )
 
 
+LINES_SQL = r"""
+WITH numbered AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM documents),
+lines AS (SELECT * FROM numbered WHERE trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> ''),
+firsts AS (SELECT line, MIN({'d': doc_id, 'l': line_no}) AS first FROM lines GROUP BY line),
+long AS (SELECT line, first, length(line) AS n FROM firsts WHERE length(line) >= 40),
+near AS (
+  SELECT DISTINCT a.line FROM long a JOIN long b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND b.first < a.first
+  AND (a.line[1:12] = b.line[1:12] OR a.line[-12:] = b.line[-12:] OR b.line LIKE '%' || a.line[14:24] || '%')
+  AND levenshtein(a.line, b.line) <= 2),
+marked AS (
+  SELECT doc_id, line_no, {'d': doc_id, 'l': line_no} <> first AS equal, n.line IS NOT NULL AS near
+  FROM lines JOIN firsts f USING (line) LEFT JOIN near n USING (line))
+SELECT doc_id, COUNT(*) AS n_lines, CAST(SUM(CAST(equal AS INT)) AS BIGINT) AS n_equal,
+  CAST(SUM(CAST(near AND NOT equal AS INT)) AS BIGINT) AS n_near,
+  COALESCE(string_agg(CASE WHEN equal OR near THEN CAST(line_no AS VARCHAR) END, ',' ORDER BY line_no), '') AS repeated
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op7_line_dedup", LINES_SQL)
+def lines_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = line_dedup.split_lines(docs, "doc_id", "text").groupBy(F.col("doc").alias("doc_id")).agg(
+        F.count("*").alias("n_lines")
+    )
+    found = line_dedup.repeated_lines(docs)
+    every = F.array_sort(F.concat("equal_lines", "near_lines"))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    return counts.join(found, "doc_id", "left").select(
+        "doc_id", "n_lines", size("equal_lines").alias("n_equal"), size("near_lines").alias("n_near"),
+        F.coalesce(F.array_join(every, ","), F.lit("")).alias("repeated"),
+    )
+
+
 WARC_SQL = """
 WITH p AS (
   SELECT page_id, COALESCE(html, '') AS html, strlen(COALESCE(html, '')) AS n, sha1(COALESCE(html, '')) AS d FROM pages),
