@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, line_dedup, quality, simhash, suffix_dedup, warc
+from tidemark.llm import chat, decontaminate, html_text, line_dedup, quality, simhash, suffix_dedup, warc
 from tidemark.plans.registry import table
 from tidemark.session import materialise, new_path
 
@@ -153,6 +153,12 @@ def lines_query(spark, sf_dir):
     )
 
 
+@query("op8_html_text")
+def html_query(spark, sf_dir):
+    text, column = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return text.select("page_id", F.col(column).alias("text"), F.length(column).cast("bigint").alias("n_chars"))
+
+
 WARC_SQL = """
 WITH p AS (
   SELECT page_id, COALESCE(html, '') AS html, strlen(COALESCE(html, '')) AS n, sha1(COALESCE(html, '')) AS d FROM pages),
