@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html_text, line_dedup, quality, simhash, suffix_dedup, warc
+from tidemark.llm import chat, decontaminate, html_text, line_dedup, quality, secrets, simhash, suffix_dedup, warc
 from tidemark.plans.registry import table
 from tidemark.session import materialise, new_path
 
@@ -102,6 +102,20 @@ def chat_query(spark, sf_dir):
     )
 
 
+@query("op4_secret_scan")
+def secrets_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    findings = materialise(secrets.find_candidates(docs), "findings")
+    words = materialise(secrets.dictionary(docs), "dictionary")
+    measured = materialise(secrets.measure(findings, words), "measured-findings")
+    model = secrets.train(secrets.rule_labels(measured))
+    judged, column = secrets.judge(measured, model)
+    return judged.select(
+        "doc_id", F.col("place").cast("bigint").alias("place"), F.length("candidate").cast("bigint").alias("n_chars"),
+        F.sha2("candidate", 256).alias("candidate_sha256"), F.col(column).alias("secret"),
+    )
+
+
 @query("op5_simhash")
 def simhash_query(spark, sf_dir):
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
