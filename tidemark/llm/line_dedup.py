@@ -87,9 +87,14 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.length(longer) - F.length(shorter) > edits, False).otherwise(_let(pair, distance) <= edits)
 
 
+def document(key: str, text: str) -> Column:
+    """A row's document: its key, then a hash of its text, so that rows of one key (or none) stay apart by their texts."""
+    return F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"))
+
+
 def split_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``doc, line_no, line, h1, h2`` of each line that is not blank; line numbers start at 0."""
-    lines = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+    lines = docs.select(document(key, text).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
     return lines.where(F.btrim("line", F.lit(BLANKS)) != "").select(
         "doc", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
     )
@@ -153,13 +158,13 @@ def near_lines(distinct: DataFrame, edits: int, least: int) -> DataFrame:
 def repeated_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 2, least: int = 40
 ) -> DataFrame:
-    """``key, equal_lines, near_lines``: the numbers of the lines of a document that repeat an earlier line.
+    """``doc, equal_lines, near_lines``: the numbers of the lines of a document that repeat an earlier line.
 
-    Lines are ordered by key and line number, null keys first. A line repeats if an equal line comes before it, or if
-    its first occurrence follows that of a line within ``edits`` edits, both of ``least`` code points or more; the
-    second kind is in ``near_lines``, each line in one array at most. Blank lines never repeat. Documents without
-    repeated lines have no row; rows of one key are one document, whose same-numbered lines do not repeat each other.
-    A null text has no lines. Other columns are ignored.
+    ``doc`` is the key and a hash of the text. Lines are ordered by it, null keys first, and by line number. A line
+    repeats if an equal line comes before it, or if its first occurrence follows that of a line within ``edits`` edits,
+    both of ``least`` code points or more; the second kind is in ``near_lines``, each line in one array at most. Blank
+    lines never repeat. Documents without repeated lines have no row. Repeated rows, equal in key and text, are one
+    document. A null text has no lines. Other columns are ignored.
     """
     lines = split_lines(docs, key, text)
     distinct = lines.groupBy(*IDS).agg(
@@ -174,7 +179,7 @@ def repeated_lines(
         "doc", "line_no", (~here.eqNullSafe(F.col("first"))).alias("equal"), F.coalesce("near", F.lit(False)).alias("near")
     ).where("equal OR near")
     numbers = lambda where: F.array_sort(F.array_distinct(F.collect_list(F.when(where, F.col("line_no")))))
-    return hits.groupBy(F.col("doc").alias(key)).agg(
+    return hits.groupBy("doc").agg(
         numbers(F.col("equal")).alias("equal_lines"), numbers(~F.col("equal")).alias("near_lines")
     )
 
@@ -185,10 +190,9 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     A null text stays as it is. Other columns stay as they are.
     """
     found = repeated_lines(docs, key, text, edits, least)
-    name = free_name(docs, "_gone")
-    gone = found.select(F.col(key).alias(f"{name}_key"), F.concat("equal_lines", "near_lines").alias(name))
-    joined = docs.join(gone.hint("shuffle_hash"), docs[key].eqNullSafe(gone[f"{name}_key"]), "left")
-    # A map looks a number up faster than a list, but lines are few; filter keeps the order.
+    name, own = free_name(docs, "_gone"), free_name(docs, "_document")
+    gone = found.select(F.col("doc").alias(own), F.concat("equal_lines", "near_lines").alias(name))
+    joined = docs.withColumn(own, document(key, text)).join(gone.hint("shuffle_hash"), own, "left")
     kept = F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(F.col(name), i))
     rest = F.when(F.col(name).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumn(text, rest)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html_text, line_dedup, quality, secrets, simhash, suffix_dedup, warc
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    html_text,
+    line_dedup,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    suffix_dedup,
+    warc,
+)
 from tidemark.plans.registry import table
 from tidemark.session import materialise, new_path
 
@@ -25,6 +36,20 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op1_sentencepiece")
+def pieces_query(spark, sf_dir, model_path: str = MODEL):
+    model = pieces.read_model(model_path)
+    coded, ids = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    back, text = pieces.decode(coded.select("doc_id", ids), model, ids)
+    return back.select(
+        "doc_id", F.size(ids).cast("bigint").alias("n_pieces"), F.col(ids).alias("piece_ids"),
+        F.sha2(text, 256).alias("decoded_sha256"),
+    )
+
+
 DECONTAMINATE_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(
@@ -145,24 +170,23 @@ near AS (
 marked AS (
   SELECT doc_id, line_no, {'d': doc_id, 'l': line_no} <> first AS equal, n.line IS NOT NULL AS near
   FROM lines JOIN firsts f USING (line) LEFT JOIN near n USING (line))
-SELECT doc_id, COUNT(*) AS n_lines, CAST(SUM(CAST(equal AS INT)) AS BIGINT) AS n_equal,
-  CAST(SUM(CAST(near AND NOT equal AS INT)) AS BIGINT) AS n_near,
+SELECT doc_id, COUNT(line_no) AS n_lines, CAST(COALESCE(SUM(CAST(equal AS INT)), 0) AS BIGINT) AS n_equal,
+  CAST(COALESCE(SUM(CAST(near AND NOT equal AS INT)), 0) AS BIGINT) AS n_near,
   COALESCE(string_agg(CASE WHEN equal OR near THEN CAST(line_no AS VARCHAR) END, ',' ORDER BY line_no), '') AS repeated
-FROM marked GROUP BY doc_id
+FROM documents LEFT JOIN marked USING (doc_id) GROUP BY doc_id
 """
 
 
 @query("op7_line_dedup", LINES_SQL)
 def lines_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts = line_dedup.split_lines(docs, "doc_id", "text").groupBy(F.col("doc").alias("doc_id")).agg(
-        F.count("*").alias("n_lines")
-    )
+    full = F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(line_dedup.BLANKS)) != "")
+    counts = docs.select("doc_id", line_dedup.document("doc_id", "text").alias("doc"), F.size(full).alias("n_lines"))
     found = line_dedup.repeated_lines(docs)
     every = F.array_sort(F.concat("equal_lines", "near_lines"))
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
-    return counts.join(found, "doc_id", "left").select(
-        "doc_id", "n_lines", size("equal_lines").alias("n_equal"), size("near_lines").alias("n_near"),
+    return counts.join(found, "doc", "left").select(
+        "doc_id", F.greatest("n_lines", F.lit(0)).cast("bigint").alias("n_lines"), size("equal_lines").alias("n_equal"), size("near_lines").alias("n_near"),
         F.coalesce(F.array_join(every, ","), F.lit("")).alias("repeated"),
     )
 
