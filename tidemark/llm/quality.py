@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import free_name, map_batches
+from tidemark.llm.frames import bounded_sample, free_name, map_batches
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_lines"]
@@ -178,8 +178,7 @@ def learn_rules(
     joined = stats.select(F.col(key).alias("_key"), *[v.alias(n) for n, v in features(F.col(column)).items()]).join(
         known, "_key"
     )
-    order = F.xxhash64("_key")
-    sample = joined.orderBy(order, "_key", "_label", *FEATURES).limit(most_rows).select("_label", *FEATURES).collect()
+    sample = bounded_sample(joined, "_key", most_rows).select("_label", *FEATURES).collect()
     if not sample:
         return []
     table = np.array([tuple(map(float, r)) for r in sample])

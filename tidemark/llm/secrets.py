@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import free_name
+from tidemark.llm.frames import bounded_sample, free_name
 from tidemark.session import materialise
 
 RUN = "[A-Za-z0-9+/=_-]{16,}"
@@ -116,12 +116,12 @@ def train(labelled: DataFrame, most_rows: int = 20_000, trees: int = 20, depth:
     It sees at most ``most_rows`` different ones of each label, those with the smallest hash of their candidate, in a
     fixed order, so the same findings give the same forest. Null labels teach nothing.
     """
-    rows = labelled.where("label IS NOT NULL").select("label", *FEATURES, F.xxhash64("candidate").alias("_order")).distinct()
-    order = ["_order", *FEATURES]
-    sample = rows.where("label = 1").orderBy(*order).limit(most_rows).unionByName(
-        rows.where("label = 0").orderBy(*order).limit(most_rows)
+    rows = labelled.where("label IS NOT NULL").select("label", *FEATURES, "candidate").distinct()
+    sample = bounded_sample(rows.where("label = 1"), "candidate", most_rows).unionByName(
+        bounded_sample(rows.where("label = 0"), "candidate", most_rows)
     )
-    fixed = materialise(sample.repartition(1).sortWithinPartitions("label", *order), "secret-labels").coalesce(1)
+    ordered = sample.repartition(1).sortWithinPartitions("candidate", "label", *FEATURES)
+    fixed = materialise(ordered, "secret-labels").coalesce(1)
     if fixed.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(

@@ -218,7 +218,9 @@ def near_duplicates(
     key never names a component unless all keys of it are null. Other columns are ignored.
     """
     prints = materialise(fingerprints(docs, key, text, width), "fingerprints")
-    distinct = prints.select("fingerprint").distinct()
+    # Some hundred rows grow from each: a fixed number of partitions, which adaptive execution leaves as they are.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fingerprint").distinct().repartition(parts, "fingerprint")
     near = materialise(links(distinct, bits, blocks, r), "simhash-links")
     groups = components(near, "src", "dst")
     firsts = prints.groupBy("fingerprint").agg(F.min(key).alias("_first"))
