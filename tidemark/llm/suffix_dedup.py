@@ -66,10 +66,23 @@ def anchor_runs(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray,
     return (best[first] >> np.uint64(20)).astype(np.int64), first, np.diff(np.append(first, len(best)))
 
 
+def copies_within(anchor: np.ndarray, segment: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether the segment of a row is also that of a smaller document among these rows."""
+    order = np.lexsort((doc, segment, anchor))
+    a, s, d = anchor[order], segment[order], doc[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
+    out = np.empty(len(order), bool)
+    out[order] = d != d[new][np.cumsum(new) - 1]
+    return out
+
+
 def segments(texts: DataFrame, length: int) -> DataFrame:
-    """``anchor, segment, doc, place`` of each segment; ``place`` is 64 times its first byte plus its windows.
+    """``anchor, segment, doc, place, done`` of each segment; ``place`` is 64 times its first byte plus its windows.
 
-    A run of windows never has more than ``length - GRAM + 1`` windows, since its anchor lies in all of them.
+    A run of windows never has more than ``length - GRAM + 1`` windows, since its anchor lies in all of them. ``done``
+    marks segments that a smaller document of the same batch holds too: those are removed whatever other batches hold,
+    so a passage that very many documents share reaches its anchor about once per batch.
     """
     digest = xxhash.xxh3_64_intdigest
 
@@ -92,16 +105,18 @@ def segments(texts: DataFrame, length: int) -> DataFrame:
                     parts[2].append(np.full(len(first), doc, np.int64))
                     parts[3].append((first + at) * 64 + n)
             if parts[0]:
+                rows = [np.concatenate(p) for p in parts]
+                rows.append(copies_within(*rows[:3]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(p)) for p in parts], ["anchor", "segment", "doc", "place"]
+                    [pa.array(p) for p in rows], ["anchor", "segment", "doc", "place", "done"]
                 )
 
-    return texts.mapInArrow(run, "anchor bigint, segment bigint, doc bigint, place bigint")
+    return texts.mapInArrow(run, "anchor bigint, segment bigint, doc bigint, place bigint, done boolean")
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (anchor, segment, doc). Gives ``anchor, doc, places, done``: a settled row has a place whose
-    windows are removed, any other the places of a segment in its first document.
+    windows are removed, any other the places of a segment in its first document. Rows that are done pass through.
 
     Of the anchor a batch ends in, only rows of first documents are carried over: one per different segment, and its
     repeats within that document.
@@ -144,7 +159,13 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = np.empty((0, 4), np.int64)
     for batch in batches:
         if batch.num_rows:
-            new = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            new = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]])
+            done = batch.column(4).to_numpy(zero_copy_only=False)
+            if done.any():
+                yield out(new[done], True)
+                new = new[~done]
+            if not len(new):
+                continue
             copies, left, held = split(np.concatenate([held, new]), False)
             if len(copies):
                 yield out(copies, True)
@@ -273,7 +294,8 @@ def remove_repeats(
         F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias(own),
         F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "utf-8").alias("bytes"),
     )
-    dealt = segments(texts, length).repartition("anchor").sortWithinPartitions("anchor", "segment", "doc")
+    lane = F.when(F.col("done"), F.xxhash64("doc", "place")).otherwise(F.col("anchor"))
+    dealt = segments(texts, length).repartition(lane).sortWithinPartitions("done", "anchor", "segment", "doc")
     settled = materialise(dealt.mapInArrow(_settle, "anchor bigint, doc bigint, places array<bigint>, done boolean"), "repeats")
     wanted = (
         settled.where("NOT done").groupBy(F.col("doc").alias(own))
