@@ -65,16 +65,14 @@ def test_exact_margin_passes_and_same_version_again_fails(spark):
     assert got[1][2] == "candidate F1 0.6985 must be at least 0.7085 (production v8 F1 0.6985 + margin 0.0100)"
 
 
-@pytest.mark.parametrize("fold_limit", [0, 100_000])
 @pytest.mark.parametrize("rising", [False, True])
 @pytest.mark.parametrize("margin", [0.0, 0.01])
-def test_sequence_equals_a_plain_walk(spark, fold_limit, rising, margin):
+def test_sequence_equals_a_plain_walk(spark, rising, margin):
     rng = random.Random(5)
     scores = [round(0.3 + (0.0011 * i if rising else rng.random() * 0.6), 4) for i in range(400)]
     versions = [("m", str(i), s, "h", "v1") for i, s in enumerate(scores)]
     out = gate.gate_sequence(
         requests(spark, [("m", str(i), "a") for i in range(400)]), config(spark, margin), tags(spark, versions),
-        fold_limit=fold_limit,
     )
     best, holder, want = None, None, []
     for i, s in enumerate(scores):
@@ -85,6 +83,37 @@ def test_sequence_equals_a_plain_walk(spark, fold_limit, rising, margin):
     assert [(r["decision"], r["previous_production"]) for r in out.orderBy("seq").collect()] == want
 
 
+def test_every_request_is_decided_once(spark):
+    """Equal seq at different times, many requests in one second, repeated requests, and requests without a time."""
+    rng = random.Random(11)
+    scores = {str(i): round(0.4 + rng.random() * 0.5, 3) for i in range(150)}
+    t = tags(spark, [("m", v, s, "h", "v1") for v, s in scores.items()])
+    items = [(rng.randint(0, 2), rng.randint(0, 3), v) for v in scores] + [(1, 1, "7")] * 5
+    asked = spark.createDataFrame(
+        [("m", v, "a", ts, seq) for ts, seq, v in items] + [("m", "3", "a", None, 0), ("m", "3", "a", None, 0)],
+        "model string, version string, approved_by string, ts long, seq long",
+    ).withColumn("ts", F.timestamp_seconds("ts"))
+    out = gate.gate_sequence(asked, config(spark, 0.02), t).collect()
+    assert len(out) == len(items) + 2
+    assert [r.status for r in out if r.ts is None] == [400, 400]
+    best, holder, want = None, None, []
+    for ts, seq, v in sorted(items):
+        won = scores[v] >= (0.40 if best is None else best + 0.02)
+        want.append((ts, seq, v, holder if won else None, won))
+        if won:
+            best, holder = scores[v], v
+    got = [(int(r.ts.timestamp()), r.seq, r.version, r.previous_production, r.decision == "promoted") for r in out if r.ts]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("margin", [-0.01, None])
+def test_a_negative_or_missing_margin_is_refused(spark, margin):
+    t = tags(spark, [("m", "1", 0.9, "h", "v1")])
+    c = config(spark, 0.01).withColumn("margin", F.lit(margin).cast("double"))
+    out = gate.gate_sequence(requests(spark, [("m", "1", "a")]), c, t).collect()
+    assert [(r.status, r.reason) for r in out] == [(409, "margin missing or negative for m")]
+
+
 def test_registry_latest_tag_wins_and_backfill_is_idempotent(spark, rows):
     t = tags(spark, [("m", "2", 0.5, "h", "v1"), ("m", "10", 0.6, "h", "v1"), ("m", "10", 0.7, "h", "v1")])
     assert rows(registry.latest_versions(t)) == [("m", 10)]

@@ -227,3 +227,16 @@ def test_threshold_is_strict(spark):
     got = {round(r["threshold"], 2): (r["n_escalated"], r["accuracy"])
            for r in metrics.threshold_sweep(df, F.col("c"), F.col("a"), F.col("b")).collect()}
     assert got[0.65] == (0, 0.5) and got[0.7] == (1, 0.0) and got[0.75] == (2, 0.5)
+
+
+def test_null_groups_are_groups(spark):
+    rows = [(None if i % 4 == 0 else "g", float(i % 37) / 37, i % 3 == 0, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double, ref boolean, id int")
+    own = [r[1] for r in rows if r[0] is None]
+    low = {r.g: r for r in ranks.exact_ranks(df, ["g"], "v", {"p": ranks.floor_rank(0.5)}).collect()}
+    assert low[None].n == len(own) and low[None].p == sorted(own)[(len(own) - 1) // 2]
+    report = {r.g: r for r in drift.drift_report(df, "v", "ref", "g").collect()}
+    assert report[None].n_ref + report[None].n_cur == len(own) and set(report) == {None, "g"}
+    split_rows = stratified_split(df, "id", "g").collect()
+    assert len(split_rows) == len(rows)
+    assert sum(r.split != "train" for r in split_rows if r.g is None) == -(-30 * len(own) // 100)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import BINS, drift_band, entropy, psi_from_counts, unit_bin
-from tidemark.operators.blocked import running
+from tidemark.operators.blocked import join_with_nulls, running
 
 PSI_THRESHOLD = 0.2
 KS_ALPHA = 0.05
@@ -91,7 +91,7 @@ def ks_two_sample(samples: DataFrame, value: str, side: str, *groups: str) -> Da
     totals = counted.groupBy(*keyed).agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     gap = F.max(F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur")))
     out = (
-        pair.join(totals, keyed)
+        join_with_nulls(pair, totals, keyed)
         .groupBy(*keyed, "n_ref", "n_cur")
         .agg(gap.alias("ks"))
         .withColumn("ks_p", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
@@ -109,10 +109,9 @@ def drift_report(samples: DataFrame, value: str, side: str, *groups: str) -> Dat
         bin_counts(value, where=cur).alias("h_cur"),
     )
     psi = psi_from_counts(F.col("h_ref"), F.col("h_cur"))
+    shape = shape.withColumn("psi", psi).drop("h_ref", "h_cur")
     return (
-        shape.withColumn("psi", psi)
-        .drop("h_ref", "h_cur")
-        .join(ks_two_sample(samples, value, side, *groups), list(groups))
+        join_with_nulls(shape, ks_two_sample(samples, value, side, *groups), list(groups))
         .withColumn("drift", F.when(F.col("psi") > PSI_THRESHOLD, "yes").otherwise("no"))
         .withColumn("band", drift_band(F.col("psi")))
     )

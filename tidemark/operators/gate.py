@@ -6,12 +6,10 @@ Requests are ``(model, version, approved_by, ts, seq)``; the configuration is
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocked import running, time_block
+from tidemark.operators.blocked import range_blocks, running
 from tidemark.operators.registry import dossiers
 from tidemark.session import materialise
 
@@ -19,7 +17,7 @@ from tidemark.session import materialise
 MARGIN = 0.01
 FLOOR = 0.40
 
-FOLD_LIMIT = 100_000  # rows of one model that may be folded in one array; beyond it, rounds
+ORDER = ["ts", "seq", "version", "approved_by"]
 
 
 def with_dossiers(requests: DataFrame, config: DataFrame, tags: DataFrame) -> DataFrame:
@@ -42,6 +40,10 @@ def static_refusal() -> Column:
             F.coalesce("expected_hash", F.lit("")) == "",
             refuse(409, F.concat(F.lit("expected eval-set hash not configured for "), F.col("model"))),
         ),
+        F.when(
+            F.col("margin").isNull() | (F.col("margin") < 0),
+            refuse(409, F.concat(F.lit("margin missing or negative for "), F.col("model"))),
+        ),
         F.when(F.coalesce("approved_by", F.lit("")) == "", refuse(400, F.lit("approved_by required"))),
         F.when(missing, refuse(409, F.lit("dossier incomplete"))),
         F.when(
@@ -99,19 +101,15 @@ def gate_snapshot(
 
 
 def gate_sequence(
-    requests: DataFrame,
-    config: DataFrame,
-    tags: DataFrame,
-    incumbents: DataFrame | None = None,
-    block_seconds: int = 3600,
-    fold_limit: int = FOLD_LIMIT,
+    requests: DataFrame, config: DataFrame, tags: DataFrame, incumbents: DataFrame | None = None
 ) -> DataFrame:
-    """Requests decided in order of (ts, seq); an accepted one is the incumbent of the next.
+    """Requests decided in order of (ts, seq, version, approver); an accepted one is the incumbent of the next.
 
-    An accepted score is never below an earlier eligible score of its model: each of those was either
-    accepted, hence beaten, or fell short of a bar that the accepted score clears. So only running
-    maxima can be accepted. They come from blocked running aggregates; the chain of acceptances is
-    followed through them alone, and each request then meets the last acceptance before it.
+    One row per request, repeated ones included; a request without a time has no place in the order and is refused.
+    An accepted score is never below an earlier eligible score of its model: each of those was either accepted, hence
+    beaten, or fell short of a bar that the accepted score clears (margins are not negative). So only running maxima
+    can be accepted. They come from blocked running aggregates; the chain of acceptances is followed through them by
+    pointer jumping, and each request then meets the last acceptance before it.
     """
     rows = with_dossiers(requests, config, tags)
     if incumbents is None:
@@ -120,22 +118,23 @@ def gate_sequence(
         )
     else:
         rows = rows.join(incumbents, "model", "left")
-    rows = materialise(rows.withColumn("_static", static_refusal()), "gate_requests")
-    order = ["ts", "seq"]
-    eligible = rows.where("_static is null").withColumn("_block", time_block(F.col("ts"), block_seconds))
+    undated = F.struct(F.lit(400).alias("status"), F.lit("request has no timestamp").alias("reason"))
+    rows = rows.withColumn("_static", F.coalesce(static_refusal(), F.when(F.col("ts").isNull(), undated)))
+    rows = range_blocks(rows, ["model", *ORDER], "gate_requests")
+    order = [*ORDER, "_id"]
+    eligible = rows.where("_static is null")
     bar = F.coalesce(F.col("incumbent_score") + F.col("margin"), F.col("floor"))
     records = running(eligible, ["model"], order, "_block", maxima={"_best": F.col("score")}).where(
         (F.col("_best").isNull() | (F.col("score") >= F.col("_best"))) & (F.col("score") >= bar)
     )
-    accepted = _accepted(
-        materialise(
-            records.select("model", "ts", "seq", "version", "score", "margin", bar.alias("bar")), "gate_records"
-        ),
-        fold_limit,
+    placed = running(
+        materialise(records.select("model", *order, "_block", "score", "margin"), "gate_records"),
+        ["model"], order, "_block", sums={"pos": F.lit(1)},
     )
-    marks = accepted.select("model", "seq", F.struct("ts", "seq", "version", "score").alias("_won"))
-    marked = eligible.join(marks, ["model", "seq"], "left")
-    known = running(marked, ["model"], order, "_block", maxima={"_last": F.col("_won")})
+    accepted = _accepted(materialise(placed.select("model", "pos", "_id", "score", "margin"), "gate_places"))
+    marked = eligible.join(accepted.withColumn("_accepted", F.lit(True)), "_id", "left")
+    won = F.when(F.col("_accepted"), F.struct(*order, "score"))
+    known = running(marked, ["model"], order, "_block", maxima={"_last": won})
     decided = _decide(
         known, F.col("_static"),
         F.coalesce("_last.version", "incumbent_version"), F.coalesce("_last.score", "incumbent_score"),
@@ -147,53 +146,34 @@ def gate_sequence(
     )
 
 
-def _accepted(records: DataFrame, fold_limit: int) -> DataFrame:
-    """The chain of acceptances through the running maxima of each model."""
-    sizes = records.groupBy("model").agg(F.count("*").alias("m"))
-    largest = sizes.agg(F.max("m")).first()[0] or 0
-    if largest <= fold_limit:
-        return _fold(records)
-    small = sizes.where(F.col("m") <= fold_limit)
-    folded = _fold(records.join(small, "model", "left_semi"))
-    return folded.unionByName(_rounds(records.join(small, "model", "left_anti")))
+def _accepted(records: DataFrame) -> DataFrame:
+    """``_id`` of the chain of acceptances through the running maxima ``(model, pos, _id, score, margin)``.
 
-
-def _fold(records: DataFrame) -> DataFrame:
-    item = "struct<ts: {ts}, seq: bigint, version: string, score: double, margin: double>".format(
-        ts=records.schema["ts"].dataType.simpleString()
-    )
-    folded = records.groupBy("model").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "seq", "version", "score", "margin"))).alias("r"),
-        F.first("bar").alias("bar"),
-    )
-    start = F.struct(F.col("bar"), F.array().cast(f"array<{item}>").alias("won"))
-    won = F.aggregate(
-        "r",
-        start,
-        lambda acc, x: F.when(
-            x["score"] >= acc["bar"],
-            F.struct((x["score"] + x["margin"]).alias("bar"), F.concat(acc["won"], F.array(x)).alias("won")),
-        ).otherwise(acc),
-        lambda acc: acc["won"],
-    )
-    return folded.select("model", F.explode(won).alias("w")).select("model", "w.ts", "w.seq", "w.version", "w.score")
-
-
-def _rounds(records: DataFrame) -> DataFrame:
-    """One acceptance per model and round. A margin above 0 bounds the rounds by range / margin; a
-    margin of 0 accepts every running maximum, so those need no rounds."""
-    won = [records.where("margin = 0").select("model", "ts", "seq", "version", "score")]
-    left = records.where("margin > 0")
-    bars = left.groupBy("model").agg(F.first("bar").alias("need"))
+    Scores never fall along ``pos``, so the record that beats another is found by counting the scores below its bar.
+    The first record of a model is accepted. Each round doubles both the reach of the pointers and the known part of
+    the chains, so rounds grow with the logarithm of the longest chain, and no task follows a chain.
+    """
+    scores = records.select("model", F.col("score").alias("value"), F.lit(1).alias("own"), "pos")
+    bars = records.select("model", (F.col("score") + F.col("margin")).alias("value"), F.lit(0).alias("own"), "pos")
+    both = range_blocks(scores.unionByName(bars), ["model", "value", "own"], "gate_bars")
+    below = running(both, ["model"], ["value", "own", "_id"], "_block", sums={"below": F.col("own")})
+    beaten_by = (F.greatest("below", "pos") + 1).cast("bigint")
+    pointers = below.where("own = 0").select("model", "pos", beaten_by.alias("next"))
+    none = F.lit(None).cast("bigint")
+    # One table per round: the positions known to be on the chain have no pointer beside them.
+    state = materialise(records.where("pos = 1").select("model", "pos", none.alias("next")).unionByName(pointers), "gate_chain")
     while True:
-        # Scores only rise along the records, so those that clear the bar come after the last winner.
-        first = F.min(F.struct("ts", "seq", "version", "score", "margin"))
-        ahead = left.join(bars, "model").where(F.col("score") >= F.col("need"))
-        step = materialise(ahead.groupBy("model").agg(first.alias("w")).select("model", "w.*"), "gate_round")
-        if step.isEmpty():
-            return reduce(DataFrame.unionByName, won)
-        won.append(step.select("model", "ts", "seq", "version", "score"))
-        bars = step.select("model", (F.col("score") + F.col("margin")).alias("need"))
+        chain, jumps = state.where("next is null"), state.where("next is not null")
+        if jumps.isEmpty():
+            return records.join(chain.select("model", "pos"), ["model", "pos"], "left_semi").select("_id")
+        reached = chain.select("model", "pos").join(jumps, ["model", "pos"])
+        further = jumps.select("model", "pos", F.col("next").alias("_via")).join(
+            jumps.select("model", F.col("pos").alias("_via"), "next"), ["model", "_via"]
+        )
+        state = materialise(
+            chain.unionByName(reached.select("model", F.col("next").alias("pos"), none.alias("next")))
+            .unionByName(further.select("model", "pos", "next")), "gate_chain",
+        )
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:

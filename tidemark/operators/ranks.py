@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocked import join_with_nulls
 from tidemark.session import materialise
 
 ACCURACY = 10_000
@@ -54,7 +55,7 @@ def exact_ranks(
     # Written, so that Catalyst broadcasts it by its real size instead of shuffling all rows by group.
     bounds = materialise(sketch.select(*groups, "n", brackets.alias("_b")), "rank_bounds")
     near = (
-        rows.join(bounds, groups)
+        join_with_nulls(rows, bounds, groups)
         .select(*groups, "n", "_v", F.explode(F.filter("_b", lambda b: F.col("_v") <= b["hi"])).alias("b"))
         .select(
             *groups, "n", "b.target", "b.rank",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocked import running, time_block
+from tidemark.operators.blocked import join_with_nulls, range_blocks, running
 from tidemark.operators.ranks import exact_median, exact_ranks, floor_rank
 from tidemark.session import materialise
 
@@ -18,7 +18,7 @@ def latency_summary(log: DataFrame, level: str, latency_ms: str, ts: str) -> Dat
     ranks = exact_ranks(log, [level], latency_ms, {n: floor_rank(p) for n, p in PERCENTILES.items()})
     micros = F.unix_micros(F.max(F.col(ts).cast("timestamp"))) - F.unix_micros(F.min(F.col(ts).cast("timestamp")))
     wall = log.groupBy(level).agg((micros / 1e6).alias("wall_s"))
-    return ranks.join(wall, level).withColumn("req_s", F.when(F.col("wall_s") > 0, F.col("n") / F.col("wall_s")))
+    return join_with_nulls(ranks, wall, [level]).withColumn("req_s", F.when(F.col("wall_s") > 0, F.col("n") / F.col("wall_s")))
 
 
 def approx_latency_summary(log: DataFrame, level: str, latency_ms: str) -> DataFrame:
@@ -61,12 +61,11 @@ def slo_windows(
 def step_times(steps: DataFrame, run: str, ts: str, order: list[str], batch_size: int) -> DataFrame:
     """Median seconds per step of each run after the warm-up, and samples per second.
 
-    The step number and the clock reading before each step come from blocked running aggregates, so
-    a run of any length is spread over many tasks.
+    The step number and the clock reading before each step come from blocked running aggregates over
+    ranges of the order, so a run of any length, or a busy hour of it, is spread over many tasks.
     """
-    rows = steps.withColumn("_block", time_block(F.col(ts), 3600)).withColumn(
-        "_us", F.unix_micros(F.col(ts).cast("timestamp"))
-    )
+    clock = steps.select(run, *order, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    rows = range_blocks(clock, [run, *order, "_us"], "steps")
     ordered = F.struct(*order, "_us")
     rows = running(rows, [run], order, "_block", sums={"step": F.lit(1)}, maxima={"_prev": ordered})
     deltas = rows.where(F.col("step") > WARMUP_STEPS).select(

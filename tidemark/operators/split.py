@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import hash_bucket
+from tidemark.operators.blocked import join_with_nulls
 from tidemark.session import materialise
 
 PREFIX = 4  # hex digits: 65,536 buckets per class
@@ -16,7 +17,7 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = 42) -> Dat
 
     Per class of n rows the holdout takes ``ceil(0.3 n)`` and the test split half of it, rounded up.
     Bucket counts locate the two cut ranks; only the buckets that hold a cut are sorted, and every
-    other row is settled by comparing its hash with the cut.
+    other row is settled by comparing its hash with the cut. Rows without a label are a class of their own.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     hashed = df.withColumn("_h", digest).withColumn("_p", F.substring("_h", 1, PREFIX))
@@ -39,8 +40,8 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = 42) -> Dat
     ), "split_cuts")
     buckets = cuts.select("_c", "_p").distinct()
     inside = Window.partitionBy("_c", "_p").orderBy("_h", "_k")
-    ranked = keys.join(buckets, ["_c", "_p"], "left_semi").withColumn("rn", F.row_number().over(inside))
-    last = ranked.join(cuts, ["_c", "_p"]).where("rn = rank")
+    ranked = join_with_nulls(keys, buckets, ["_c", "_p"], "left_semi").withColumn("rn", F.row_number().over(inside))
+    last = join_with_nulls(ranked, cuts, ["_c", "_p"]).where("rn = rank")
     borders = materialise(
         last.groupBy("_c").agg(
             F.max(F.when(F.col("cut") == "test", F.struct("_h", "_k"))).alias("_test"),

@@ -2,11 +2,14 @@
 
 Sinks written in ``foreachBatch`` go to one ``batch_id=`` folder per micro-batch in overwrite mode, so
 a batch that is replayed after a failure replaces its own output. A job reads all that is there and
-stops (``availableNow``) or, given another trigger, goes on.
+stops (``availableNow``) or, given another trigger, goes on. A job that is given no checkpoint keeps it beside its
+output, so starting it again on that output goes on where it stopped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,9 +20,13 @@ from tidemark.operators import drift, gate, registry, routing, validate
 from tidemark.operators.pool import text_hash
 from tidemark.operators.scorers import Scorer
 from tidemark.schemas import TextSchema
-from tidemark.session import new_path
 
 NOW = {"availableNow": True}
+Source = DataFrame | Callable[[SparkSession], DataFrame]
+
+
+def _now(source: Source, spark: SparkSession) -> DataFrame:
+    return source(spark) if callable(source) else source
 
 
 def read_files(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", per_batch: int | None = None):
@@ -30,13 +37,12 @@ def read_files(spark: SparkSession, folder: str, schema, pattern: str = "*.parqu
     return reader.parquet(folder)
 
 
-def _batches(stream: DataFrame, write, checkpoint: str | None, trigger: dict) -> StreamingQuery:
-    place = checkpoint or new_path(stream.sparkSession, "checkpoint")
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", place).trigger(**trigger).start()
+def _batches(stream: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def _append(stream: DataFrame, path: str, checkpoint: str | None, trigger: dict) -> StreamingQuery:
-    place = checkpoint or new_path(stream.sparkSession, "checkpoint")
+    place = checkpoint or f"{path}/_checkpoint"
     return (
         stream.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", place).option("path", path).trigger(**trigger).start()
@@ -54,7 +60,7 @@ def land(stream: DataFrame, schema: TextSchema, root: str, name: str, checkpoint
         _write_batch(good, f"{root}/validated/{name}", batch_id)
         _write_batch(broken, f"{root}/quarantine/{name}", batch_id)
 
-    return _batches(stream, write, checkpoint, trigger)
+    return _batches(stream, write, checkpoint or f"{root}/_checkpoints/{name}", trigger)
 
 
 def unique_texts(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -112,24 +118,26 @@ def answer(
         _write_batch(answers, f"{path}/answers", batch_id)
         _write_batch(broken, f"{path}/quarantine", batch_id)
 
-    return _batches(stream, write, checkpoint, trigger)
+    return _batches(stream, write, checkpoint or f"{path}/_checkpoint", trigger)
 
 
 def decide_promotions(
-    stream: DataFrame, config: DataFrame, tags: DataFrame, path: str, checkpoint=None, trigger=NOW
+    stream: DataFrame, config: Source, tags: Source, path: str, checkpoint=None, trigger=NOW
 ) -> StreamingQuery:
     """Promotion requests in order of arrival: decisions to ``audit``, models in production to ``state``.
 
     A micro-batch starts from the state that the batch before it left (one row per model), runs the
-    batch gate, and leaves its own. So no batch reads the history, and a model with very many
+    batch gate, and leaves its own. ``config`` and ``tags`` may be functions of the session, which are called for
+    each micro-batch, so that versions registered after the start are seen. So no batch reads the history, and a model with very many
     requests is spread over tasks like any other.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        known = _now(tags, spark).join(batch.select("model").distinct(), "model", "left_semi")
         earlier = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}") if batch_id > 0 else None
-        _write_batch(gate.gate_sequence(batch, config, tags, earlier), f"{path}/audit", batch_id)
+        _write_batch(gate.gate_sequence(batch, _now(config, spark), known, earlier), f"{path}/audit", batch_id)
         won = registry.production_pointer(spark.read.parquet(f"{path}/audit/batch_id={batch_id}"))
-        state = won.join(registry.dossiers(tags, ["test_f1"]), ["model", "version"]).select(
+        state = won.join(registry.dossiers(known, ["test_f1"]), ["model", "version"]).select(
             "model", F.col("version").alias("incumbent_version"),
             F.col("test_f1").cast("double").alias("incumbent_score"),
         )
@@ -137,7 +145,7 @@ def decide_promotions(
             state = state.unionByName(earlier.join(won, "model", "left_anti"))
         _write_batch(state, f"{path}/state", batch_id)
 
-    return _batches(stream, write, checkpoint, trigger)
+    return _batches(stream, write, checkpoint or f"{path}/_checkpoint", trigger)
 
 
 def delayed_pairs(
