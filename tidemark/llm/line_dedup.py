@@ -105,7 +105,7 @@ def _segment_start(length: Column, i: int, edits: int) -> Column:
 
 
 def segment_keys(line: Column, edits: int) -> Column:
-    """Array of (key, index): the segments of a line, and the substrings it probes with."""
+    """Array of (key, index): the substrings a line probes with; those that are its own segments are also the index."""
     n = F.length(line)
     out = []
     for gap in range(edits + 1):
@@ -118,9 +118,7 @@ def segment_keys(line: Column, edits: int) -> Column:
                 part = F.substring(line, at + 1, end - start)
                 inside = (at >= 0) & (at + (end - start) <= n) & (end > start)
                 value = F.when(inside, F.xxhash64(other, F.lit(i), part))
-                out.append(F.struct(value.alias("key"), F.lit(False).alias("index")))
-                if gap == 0 and shift == 0:
-                    out.append(F.struct(value.alias("key"), F.lit(True).alias("index")))
+                out.append(F.struct(value.alias("key"), F.lit(gap == 0 and shift == 0).alias("index")))
     return F.array(*out)
 
 
@@ -132,22 +130,24 @@ def near_lines(distinct: DataFrame, edits: int, least: int) -> DataFrame:
     own = distinct.where(F.length("line") >= least)
     keyed = own.select(*IDS, F.explode(segment_keys(F.col("line"), edits)).alias("k")).select(*IDS, "k.key", "k.index")
     dealt = keyed.where("key IS NOT NULL").repartition("key")
-    met = dealt.groupBy("key").agg(
-        F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("index").alias("indexed")
-    ).where("indexed AND low != high").select("key")
-    live = materialise(dealt.join(met.hint("shuffle_hash"), "key", "left_semi"), "line-keys")
+    # This and the join below read the same columns, so they share one shuffle. An inner join on keys that are unique:
+    # a semi join would be pushed below the shuffle.
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in IDS for f in (F.min, F.max)]
+    met = dealt.groupBy("key").agg(*ends, F.max("index").alias("indexed")).where(
+        "indexed AND (min_h1 != max_h1 OR min_h2 != max_h2)"
+    ).select("key")
+    live = materialise(dealt.join(met.hint("shuffle_hash"), "key"), "line-keys")
     texts = materialise(
         own.join(live.select(*IDS).distinct(), IDS, "left_semi").withColumn("bits", parity(F.col("line"))), "line-texts"
     )
     full = live.join(texts, IDS)
     index = full.where("index").select("key", *[F.col(c).alias(f"i_{c}") for c in (*IDS, "first", "line", "bits")])
-    probe = full.where("NOT index")
     near = (
         ((F.col("h1") != F.col("i_h1")) | (F.col("h2") != F.col("i_h2")))
         & (F.bit_count(F.col("bits").bitwiseXOR(F.col("i_bits"))) <= 2 * edits)
         & within(F.col("line"), F.col("i_line"), edits)
     )
-    pairs = probe.join(index, (probe["key"] == index["key"]) & near)
+    pairs = full.withColumnRenamed("key", "i_key").join(index, (F.col("i_key") == F.col("key")) & near)
     one = pairs.select(*IDS, F.col("i_h1").alias("o1"), F.col("i_h2").alias("o2"),
                        (F.col("i_first") < F.col("first")).alias("earlier"))
     other = pairs.select(F.col("i_h1").alias("h1"), F.col("i_h2").alias("h2"), F.col("h1").alias("o1"),
