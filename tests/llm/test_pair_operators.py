@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, line_dedup, pieces, simhash, suffix_dedup
+from tidemark.llm import decontaminate, line_dedup, pieces, shingle_sets, simhash, suffix_dedup
 from tidemark.llm.components import components
 from tidemark.llm.queries import MODEL, QUERIES
 
@@ -87,6 +87,39 @@ def test_anchors_join_every_pair_within_reach(spark, tile):
     assert grouped(signed, edges) == grouped(signed, reach)
 
 
+def brute_set(text):
+    tokens = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(tokens[i: i + 5]) for i in range(max(1, len(tokens) - 4))} if tokens else set()
+
+
+def brute_jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_pipeline_links_all_pairs_of_shingle_jaccard(spark, monkeypatch):
+    monkeypatch.setattr(shingle_sets, "TILE", 7)
+    rng = random.Random(12)
+    texts = [None, "", " \n", "one", "One", "a b c d e f", "a b c d e g"]
+    for n in (9, 60, 300):
+        for _ in range(6):
+            base = [f"w{rng.randint(0, 500)}" for _ in range(n)]
+            for _ in range(9):
+                near = list(base)
+                for at in rng.sample(range(n), rng.randint(0, n // 40 + 2)):
+                    near[at] = f"v{rng.randint(0, 500)}"
+                texts.append(" ".join(near))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts, 10))
+    sets = {k: brute_set(t) for k, t in rows}
+    similar = {p: brute_jaccard(sets[p[0]], sets[p[1]]) for p in itertools.combinations(sets, 2)}
+    low = grouped(sets, [p for p, x in similar.items() if x >= 0.8])
+    apart = [p for p, x in similar.items() if 0.8 <= x < 1 and (brute_fingerprint(texts[p[0] - 10]) ^ brute_fingerprint(texts[p[1] - 10])).bit_count() > 4]
+    assert len(apart) > 50 and any(0.6 < x < 0.8 for x in similar.values())
+    docs = spark.createDataFrame([(k, t, None, "s", 0, "c", True, 0) for k, t in rows], DOCS).repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert {r.doc_id for r in out.collect()} == set(low.values())
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(1, 300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     assert {r.component for r in components(chain, "src", "dst").collect()} == {1}
