@@ -211,3 +211,24 @@ def test_secret_candidates_of_odd_texts(spark):
     judged, name = secrets.judge(measured, None)
     assert judged.where(name).count() == 3
     assert sorted(measured.columns) == sorted([*found.columns, *secrets.FEATURES])
+
+
+def test_every_run_of_a_word_is_a_finding(spark):
+    a, b = "0123456789abcdef" * 2 + "01234567", "fedcba9876543210" * 2
+    rows = [
+        (1, f'x {{"client_secret_value":"{a}"}} y'), (2, f"https://service-gateway.internal/?token={b}"),
+        (3, f'{{"k1":"{a}","k2":"{b}","k3":"{a}"}}'), (4, ",".join([b] * 3000)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secrets.find_candidates(docs)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert [r.candidate for r in got[1]] == ["client_secret_value", a]
+    assert [r.candidate for r in got[2]] == ["//service-gateway", f"token={b}"]
+    assert [r.candidate for r in got[3]] == [a, b, a]
+    assert len(got[4]) == 3000 and max(len(r.before) + len(r.word) + len(r.after) for r in got[4]) < 200
+    assert got[1][1].before == ' x {"client_secret_value":"' and got[1][1].word == f'":"{a}"}}' and got[1][1].after == "y"
+    assert got[3][1].before == f'  {{"k1":"{a}","k2":"' and got[3][1].after == a
+    labels = secrets.rule_labels(secrets.measure(found.where("doc_id = 1"), secrets.dictionary(docs)))
+    assert [(r.candidate, r.label) for r in labels.collect()] == [(a, 1.0)]

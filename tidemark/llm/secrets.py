@@ -1,7 +1,7 @@
 """Secret scanning: candidates from all texts, and a random forest that takes false positives out.
 
 Everything is a DataFrame expression, an aggregation or a Spark ML estimator. Candidates are runs of key characters in
-the words of a text. The forest sees a candidate's length, its changes of character class and how common its letter
+the words of a text, each run one of its own. The forest sees a candidate's length, its changes of character class and how common its letter
 pairs are in ordinary words, the share of it that dictionary words cover, whether it is part of a path, and the words
 around it. It is trained on labelled findings: the caller's, or those of ``rule_labels``.
 """
@@ -19,7 +19,8 @@ from tidemark.session import materialise
 RUN = "[A-Za-z0-9+/=_-]{16,}"
 #: Words that announce a secret, and the strings that join a name and its value.
 NAMES = "(?i)(secret|token|passw|pwd|api|key|auth|cred|bearer|private)"
-JOINS = "(=|:|:=|=>)[\"']?$"
+JOINS = "(=|:|:=|=>) ?[\"'`]?$"
+NEAR = 200
 FEATURES = [
     "length", "changes", "digits", "uppers", "variety", "hexadecimal", "pairs", "dictionary", "path", "quoted",
     "announced", "joined",
@@ -27,10 +28,14 @@ FEATURES = [
 
 
 def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, place, word, candidate, before, after``: every word with a run of 16 or more key characters.
-
-    ``place`` is the number of the word in its text, ``before`` the two words before it, ``after`` the next. Null and
-    blank texts have no words; repeated rows and null keys give their own findings. Other columns are ignored.
+    """``key, place, word, candidate, before, after``: every run of 16 or more key characters.
+
+    ``place`` is the number of the word in its text. Where it has one run, ``word`` is the whole word, ``before`` the two
+    words before it and the part of it before the run, ``after`` the next word. Of several runs each is a finding of its
+    own: its ``word`` reaches from the run before to the run after, ``before`` holds also the run before (and of the two
+    words the last NEAR characters), ``after`` is the next run; so a long text without spaces gives no more than a few
+    times its size. Null and blank texts have no words; repeated rows and null keys give their own findings. Other
+    columns are ignored.
     """
     words = docs.select(F.col(key), F.split(F.btrim(F.col(text), F.lit(" \t\n\x0b\f\r")), "[ \\t\\n\\x0b\\f\\r]+").alias("words"))
     places = F.filter(
@@ -39,9 +44,23 @@ def find_candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     found = words.where(F.size("words") > 0).select(key, "words", F.explode(places).alias("place"))
     near = lambda d: F.coalesce(F.get("words", F.col("place") + d), F.lit(""))
-    return found.select(
-        key, "place", near(0).alias("word"), F.regexp_extract(near(0), RUN, 0).alias("candidate"),
-        F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"),
+    runs, gaps = F.regexp_extract_all(near(0), F.lit(RUN), F.lit(0)), F.split(near(0), RUN, -1)
+    one, none = F.size(runs) == 1, F.array(F.lit(""))
+    later = lambda x: F.slice(x, F.lit(2), F.size(x))
+    whole = F.concat_ws(" ", near(-2), near(-1))
+    parts = F.arrays_zip(
+        runs.alias("run"), F.concat(none, runs).alias("last"), later(runs).alias("next"), gaps.alias("gap"),
+        F.concat(none, gaps).alias("last_gap"), later(gaps).alias("next_gap"),
+    )
+    cut = found.select(
+        key, "place", F.when(one, whole).otherwise(F.right(whole, F.lit(NEAR))).alias("whole"),
+        F.when(one, near(1)).otherwise(F.left(near(1), F.lit(NEAR))).alias("after"), F.explode(parts).alias("part"),
+    ).where("part.run IS NOT NULL")
+    within = F.concat("part.last_gap", "part.last", "part.gap")
+    return cut.select(
+        key, "place", F.concat("part.gap", "part.run", "part.next_gap").alias("word"), F.col("part.run").alias("candidate"),
+        F.concat("whole", F.when(within != "", F.concat(F.lit(" "), within)).otherwise("")).alias("before"),
+        F.coalesce("part.next", "after").alias("after"),
     )
 
 
