@@ -232,3 +232,21 @@ def test_every_run_of_a_word_is_a_finding(spark):
     assert got[3][1].before == f'  {{"k1":"{a}","k2":"' and got[3][1].after == a
     labels = secrets.rule_labels(secrets.measure(found.where("doc_id = 1"), secrets.dictionary(docs)))
     assert [(r.candidate, r.label) for r in labels.collect()] == [(a, 1.0)]
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>if <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> then", "if x= 1 2 then"),
+        ("<math><semantics><mi>y</mi><annotation>\\y</annotation><annotation-xml><p>q</p></annotation-xml></semantics></math>z", "yz"),
+        ("<svg><title>t</title><desc>d</desc><defs><text>n</text></defs> stray <text>In</text><g><text>Out <tspan y=2>put</tspan></text></g></svg>", "In Out put"),
+        ("<svg><title/><style/><path d='M0'/><text>seen</text></svg> and <desc>more</desc>", "seen and more"),
+        ("<svg><foreignObject><div>in</div></foreignObject></svg>out", "in\nout"), ("<svg/><svg><path d=x><p>after", "after"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>", "a  b   c\nd      e"),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d</table>", "a  b\n   c\nd"),
+        ("<table><tr><td rowspan=9>a<td>b</table><table><tr><td>c</table>", "a  b\n\nc"),
+    ],
+)
+def test_page_text_of_formulas_diagrams_and_rowspans(page, text):
+    assert html_text.render(page) == text

@@ -28,9 +28,22 @@ WORDS = re.compile(r"[^ \t\n\f\r]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style title template noscript iframe noembed noframes object audio video canvas svg math datalist "
+    "head script style title template noscript iframe noembed noframes object audio video canvas datalist "
     "rp area base col link meta param source track".split()
 )
+# Not shown within svg and math, but as unknown elements elsewhere.
+FOREIGN = frozenset(["svg", "math"])
+HIDDEN_FOREIGN = frozenset(
+    "desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient annotation annotation-xml "
+    "mphantom".split()
+)
+APART = frozenset("text foreignobject mfrac mtr mtd".split())  # stand apart from what is before and after
+# Elements in which svg and math hold HTML, and start tags that end an open svg or math.
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset".split())
 BLOCK = SPACED | frozenset(
     "html body div article section nav aside header footer main address form li dt dd tr td th caption thead tbody "
@@ -82,7 +95,14 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
         found = last(tags)
         return found if found > last(fence) or found >= 0 and stack[found] in fence and found == last(fence) else -1
 
+    def foreign() -> int:
+        """The depth of the innermost svg or math if what comes next belongs to it, or -1."""
+        found = last(FOREIGN)
+        return found if found > last(INTEGRATION) else -1
+
     def start(tag: str, attrs: dict[str, str]) -> Iterator[tuple[str, str, dict[str, str]]]:
+        while tag in BREAKOUT and (outer := foreign()) >= 0:
+            yield from close_to(outer)
         if tag not in BODY_STARTS and (head := nearest(frozenset(["head"]), frozenset(["body"]))) >= 0:
             yield from close_to(head)
         if tag in CLOSES_P and (p := nearest(frozenset(["p"]), FENCE | {"button"})) >= 0:
@@ -118,8 +138,12 @@ def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
         end, begin = token[1], token[2]
         if begin:
             tag = begin.lower()
+            lone = token[3].endswith("/") and tag not in BREAKOUT and (tag in FOREIGN or foreign() >= 0)
             yield from start(tag, attributes(token[3]) if token[3] else {})
-            if tag in RAW:
+            if lone:
+                if tag not in VOID:
+                    yield from close_to(len(stack) - 1)
+            elif tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
                 raw = page[at: stop.start() if stop else len(page)]
                 yield "text", html.unescape(raw) if tag in ("textarea", "title") else raw, {}
@@ -174,57 +198,84 @@ class Block:
         self.gap = max(self.gap, lines)
 
 
-def grid_lines(rows: list[list[tuple[list[str], int]]], between: str = "  ") -> list[str]:
-    """The lines of a table: cells of a column start at the same place; a cell may span columns and have many lines."""
-    widths: list[int] = []
+def grid_lines(rows: list[list[tuple[list[str], int, int]]], groups: list[int], between: str = "  ") -> list[str]:
+    """The lines of a table: cells of a column start at the same place; a cell may have many lines.
+
+    A cell is its lines, the columns and the rows it spans (0: all that are left); ``groups`` are the first rows of row
+    groups, which no cell reaches across. Columns that a cell from above holds are passed over.
+    """
+    placed: list[list[tuple[int, list[str], int]]] = []
+    taken: dict[int, int] = {}  # the row at which a column is free again
+    ends = sorted({*groups, len(rows)})
+    for at, row in enumerate(rows):
+        end = next(e for e in ends if e > at)
+        col, here = 0, []
+        for lines, span, down in row:
+            while busy := [c for c in range(col, col + span) if taken.get(c, 0) > at]:
+                col = busy[-1] + 1
+            here.append((col, lines, span))
+            if down != 1:
+                taken.update(dict.fromkeys(range(col, col + span), min(end, at + down) if down else end))
+            col += span
+        placed.append(here)
+    widths = [0] * max((col + span for row in placed for col, _, span in row), default=0)
     for spanning in (False, True):
-        for row in rows:
-            col = 0
-            for lines, span in row:
-                widths.extend([0] * (col + span - len(widths)))
-                need = max(map(len, lines), default=0)
+        for row in placed:
+            for col, lines, span in row:
                 if spanning == (span > 1):
                     have = sum(widths[col: col + span]) + len(between) * (span - 1)
-                    widths[col + span - 1] += max(0, need - have)
-                col += span
+                    widths[col + span - 1] += max(0, max(map(len, lines), default=0) - have)
+    starts = [0]
+    for width in widths:
+        starts.append(starts[-1] + width + len(between))
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            cells, col = [], 0
-            for lines, span in row:
-                size = sum(widths[col: col + span]) + len(between) * (span - 1)
-                cells.append((lines[k] if k < len(lines) else "").ljust(size))
-                col += span
-            out.append(between.join(cells).rstrip(" "))
+    for row in placed:
+        for k in range(max((len(lines) for _, lines, _ in row), default=0)):
+            line = ""
+            for col, lines, _ in row:
+                line = line.ljust(starts[col]) + (lines[k] if k < len(lines) else "")
+            out.append(line.rstrip(" "))
     return out
 
 
 class Layout:
     def __init__(self):
         self.blocks = [Block()]
-        self.tables: list[list[list[tuple[list[str], int]]]] = []
-        self.spans: list[int] = []
+        self.tables: list[list[list[tuple[list[str], int, int]]]] = []
+        self.groups: list[list[int]] = []  # of each open table, the first rows of its row groups
+        self.spans: list[tuple[int, int]] = []
         self.lists: list[list] = []
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, gone, unseen, pre, did something
+        # tag, gone, unseen, pre, did something, and where: in "svg" (its stray text is not shown), "label" (a text
+        # element of svg), "math" or ""
+        self.open: list[tuple[str, bool, bool, bool, bool, str]] = []
 
     def visible(self) -> bool:
-        return not self.open or not (self.open[-1][1] or self.open[-1][2])
+        return not self.open or not (self.open[-1][1] or self.open[-1][2] or self.open[-1][5] == "svg")
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
         gone, unseen, pre = self.open[-1][1:4] if self.open else (False, False, False)
+        where = outer = self.open[-1][5] if self.open else ""
+        if tag in FOREIGN:
+            where = tag
+        elif where in ("svg", "label") and tag in ("text", "foreignobject"):
+            where = "label" if tag == "text" else ""
         style = attrs.get("style", "").lower().replace(" ", "") if attrs else ""
         gone = (
             gone or tag in HIDDEN or "hidden" in attrs or "display:none" in style
             or (tag == "input" and attrs.get("type", "").lower() == "hidden") or (tag == "dialog" and "open" not in attrs)
+            or (outer and tag in HIDDEN_FOREIGN)
         )
         if "visibility:" in style:
             unseen = "visibility:hidden" in style or "visibility:collapse" in style
         pre = pre or tag in ("pre", "textarea", "xmp") or "white-space:pre" in style
         acts = not gone
-        self.open.append((tag, gone, unseen, pre, acts))
+        inside = self.open[-1][0] if self.open else ""
+        self.open.append((tag, gone, unseen, pre, acts, where))
         if not acts:
             return
         block = self.blocks[-1]
+        if outer and (tag in APART or inside == "mfrac" or tag == "tspan" and not attrs.keys().isdisjoint(("x", "y", "dy"))):
+            block.space = True
         if tag == "br":
             block.line(keep_empty=True)
         elif tag == "hr":
@@ -233,8 +284,11 @@ class Layout:
             block.gap = 1
         elif tag in ("td", "th"):
             if self.tables:
-                span = attrs.get("colspan", "1")
-                self.spans.append(min(1000, max(1, int(span))) if re.fullmatch("[0-9]{1,9}", span) else 1)
+                span, down = attrs.get("colspan", "1"), attrs.get("rowspan", "1")
+                self.spans.append((
+                    min(1000, max(1, int(span))) if re.fullmatch("[0-9]{1,9}", span) else 1,
+                    min(65534, int(down)) if re.fullmatch("[0-9]{1,9}", down) else 1,
+                ))
                 self.blocks.append(Block())
             else:
                 block.margin(0)
@@ -246,7 +300,10 @@ class Layout:
         elif tag == "table":
             block.margin(1)
             self.tables.append([])
+            self.groups.append([])
         elif tag in BLOCK:
+            if tag in ("thead", "tbody", "tfoot") and self.tables:
+                self.groups[-1].append(len(self.tables[-1]))
             block.margin(1 if tag in SPACED and not (tag in ("ul", "ol") and self.lists) else 0)
             if tag in ("ul", "ol"):
                 first = attrs.get("start", "1")
@@ -260,20 +317,22 @@ class Layout:
                 block.indent.append("    ")
 
     def end(self, tag: str) -> None:
-        _, _, _, _, acts = self.open.pop()
+        acts = self.open.pop()[4]
         if not acts:
             return
+        if tag in APART and self.open and self.open[-1][5]:
+            self.blocks[-1].space = True
         if tag in ("td", "th") and self.tables:
             cell = self.blocks.pop()
             cell.line()
             if not self.tables[-1]:
                 self.tables[-1].append([])
-            self.tables[-1][-1].append((cell.lines, self.spans.pop()))
+            self.tables[-1][-1].append((cell.lines, *self.spans.pop()))
         elif tag == "table":
-            rows = self.tables.pop()
+            rows, groups = self.tables.pop(), self.groups.pop()
             block = self.blocks[-1]
             block.line()
-            for line in grid_lines(rows):
+            for line in grid_lines(rows, groups):
                 block.put(line)
             block.margin(1)
         elif tag in BLOCK and tag != "tr":
