@@ -167,6 +167,34 @@ def test_suffix_dedup(spark, parts, shard_bytes):
     assert suffix_dedup.remove_repeats(docs.where("1 = 0")).collect() == []
 
 
+def test_an_anchor_in_many_surroundings_is_dealt_by_window(spark, monkeypatch):
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    phrase, ends = letters(40), [letters(12) for _ in range(6)]
+    texts = [letters(60) + (rng.choice(ends) if i % 3 else letters(12)) + phrase + rng.choice(ends) + letters(60) for i in range(60)]
+    rows = list(enumerate(texts))
+    whole = suffix_dedup.shard_windows
+
+    def bounded(anchors, docs, cuts, length):
+        assert sum(map(len, cuts)) < 2 * 500, "a shard of unbounded size"
+        return whole(anchors, docs, cuts, length)
+
+    monkeypatch.setattr(suffix_dedup, "shard_windows", bounded)
+    run = suffix_dedup._shards
+    monkeypatch.setattr(suffix_dedup, "_shards", lambda n, size: _with_bound(run(n, size), bounded))
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), shard_bytes=500).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in out}
+    assert got == brute_repeats(rows) and any(x[1] for x in got.values())
+
+
+def _with_bound(run, bounded):
+    def checked(batches):
+        suffix_dedup.shard_windows = bounded  # in the worker process
+        yield from run(batches)
+
+    return checked
+
+
 def test_copies_within_a_batch():
     a = np.array
     got = suffix_dedup.copies_within(a([5, 5, 5, 5, 1]), a([7, 7, 7, 8, 7]), a([3, 2, 2, 9, 4]))

@@ -8,7 +8,8 @@ equal anchors, and windows in a row that share an anchor make one segment. Segme
 2. ``_settle``: an anchor seen in one document only is done. Where a segment occurs again in a larger document, the
    copy is removed whole. What is left are the first documents of different segments that share an anchor.
 3. Their bytes are cut from the texts, and shards of whole anchors get a suffix array by induced sorting and its
-   permuted common prefixes; a window is removed where a suffix equal to ``length`` bytes has a smaller key.
+   permuted common prefixes; a window is removed where a suffix equal to ``length`` bytes has a smaller key. An anchor
+   with more bytes than a shard is not sorted: its windows are dealt singly, by a hash of their bytes.
 4. Removed windows meet their documents once more and are merged into byte runs.
 
 Copies thus never meet in pairs, and a suffix array holds each different segment of an anchor once.
@@ -194,6 +195,21 @@ def _cut(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     )
 
 
+def _windows(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """``window, doc, places``: each window of the segments of ``_cut`` on its own, by a hash of its bytes."""
+    digest = xxhash.xxh3_64_intdigest
+    hashes, docs, places = [], [], []
+    for doc, own, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "places", "bytes")), strict=True):
+        for at in range(len(raw) - length + 1):
+            hashes.append(digest(raw[at: at + length]))
+            docs.append(doc)
+            places.append([(p // 64 + at) * 64 + 1 for p in own])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(docs, pa.int64()), pa.array(places, pa.list_(pa.int64()))],
+        ["window", "doc", "places"],
+    )
+
+
 def shard_windows(anchors: np.ndarray, docs: np.ndarray, cuts: list[bytes], length: int) -> list[tuple[int, int, int]]:
     """(row, first window, windows) of the windows of each segment that an equal window with a smaller key removes.
 
@@ -297,16 +313,28 @@ def remove_repeats(
     lane = F.when(F.col("done"), F.xxhash64("doc", "place")).otherwise(F.col("anchor"))
     dealt = segments(texts, length).repartition(lane).sortWithinPartitions("done", "anchor", "segment", "doc")
     settled = materialise(dealt.mapInArrow(_settle, "anchor bigint, doc bigint, places array<bigint>, done boolean"), "repeats")
+    left = settled.where("NOT done")
+    size = F.pmod(F.col("places")[0], F.lit(64)) + length
+    large = materialise(
+        left.groupBy("anchor").agg(F.sum(size).alias("size")).where(F.col("size") > shard_bytes).select("anchor"), "large-anchors"
+    )
     wanted = (
-        settled.where("NOT done").groupBy(F.col("doc").alias(own))
+        left.groupBy(F.col("doc").alias(own))
         .agg(F.collect_list(F.struct("anchor", "places")).alias("wanted"))
     )
     cut = map_batches(
         texts.join(wanted.hint("shuffle_hash"), own), lambda b: _cut(b, length),
         "anchor bigint, doc bigint, places array<bigint>, bytes binary",
     )
-    shards = cut.repartition("anchor").sortWithinPartitions("anchor")
+    cut = materialise(cut, "segments")
+    shards = cut.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
     found = shards.mapInArrow(_shards(length, shard_bytes), "doc bigint, place bigint")
+    singly = map_batches(
+        cut.join(large, "anchor", "left_semi"), lambda b: _windows(b, length), "window bigint, doc bigint, places array<bigint>"
+    )
+    firsts = singly.groupBy("window").agg(F.min("doc").alias("_first"))
+    again = singly.join(firsts, "window").where("doc > _first").select("doc", F.explode("places").alias("place"))
+    found = found.unionByName(again)
     copies = settled.where("done").select("doc", F.explode("places").alias("place"))
     windows = copies.unionByName(found).groupBy(F.col("doc").alias(own)).agg(F.collect_list("place").alias("windows"))
     merged = map_batches(
