@@ -120,6 +120,15 @@ def test_pipeline_links_all_pairs_of_shingle_jaccard(spark, monkeypatch):
     assert {r.doc_id for r in out.collect()} == set(low.values())
 
 
+def test_pipeline_keeps_different_texts_of_one_doc_id(spark):
+    rng = random.Random(30)
+    a, b, c = (" ".join(f"{x}{rng.randint(0, 900)}" for _ in range(80)) for x in "abc")
+    rows = [(7, a), (7, b), (7, b), (None, c), (None, c), (None, b), (8, a + " tail")]
+    docs = spark.createDataFrame([(k, t, None, "s", 0, "c", True, 0) for k, t in rows], DOCS)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(((r.doc_id or 0), r.text) for r in out.collect()) == sorted([(7, a), (7, b), (0, c)])
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(1, 300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     assert {r.component for r in components(chain, "src", "dst").collect()} == {1}
