@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     chat,
     decontaminate,
+    embedding_dedup,
     html_text,
     line_dedup,
     pieces,
@@ -18,6 +19,7 @@ from tidemark.llm import (
     simhash,
     suffix_dedup,
     warc,
+    whitening,
 )
 from tidemark.plans.registry import table
 from tidemark.session import materialise, new_path
@@ -225,3 +227,34 @@ def quality_query(spark, sf_dir):
         "doc_id", *[f"stats.{c}" for c in quality.COUNTS[:5]], quality.base_failed(F.col("stats")).alias("base_failed"),
         quality.keep(F.col("stats"), rules).alias("kept"),
     )
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT e.vec_id, COALESCE(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.x = e.vec_id LEFT JOIN n ON n.x = e.vec_id
+"""
+
+
+@query("op12_embedding_dedup", EMBEDDING_SQL)
+def embedding_query(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_whitening")
+def whitening_query(spark, sf_dir):
+    """``deviation`` is null beyond 64 bits; ``deviation_exact`` holds 38 digits."""
+    rows = whitening.whitened_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return rows.withColumn("deviation_exact", F.col("deviation")).withColumn(
+        "deviation", F.col("deviation").try_cast("bigint")
+    )
