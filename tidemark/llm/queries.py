@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     chat,
     decontaminate,
+    divergence,
     embedding_dedup,
     html_text,
     line_dedup,
@@ -258,3 +259,36 @@ def whitening_query(spark, sf_dir):
     return rows.withColumn("deviation_exact", F.col("deviation")).withColumn(
         "deviation", F.col("deviation").try_cast("bigint")
     )
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source, regexp_extract_all(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM u GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM u SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, COALESCE(any_value(s.n), 0) AS n
+      FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+x AS (SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n,
+        CAST(1 + (1000000000::HUGEINT * (COALESCE(c.n, 0) + 2)) // (g.n + 2 * l.v) AS BIGINT) AS p,
+        CAST(1 + (1000000000::HUGEINT * (k.n + 2)) // (l.n + 2 * l.v) AS BIGINT) AS q
+      FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM x WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def divergence_query(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
