@@ -65,24 +65,57 @@ def test_exact_margin_passes_and_same_version_again_fails(spark):
     assert got[1][2] == "candidate F1 0.6985 must be at least 0.7085 (production v8 F1 0.6985 + margin 0.0100)"
 
 
-@pytest.mark.parametrize("fold_limit", [0, 100_000])
+def walk(items, scores, margin, floor=0.40):
+    """Decisions on (order..., version) items, one after the other: won, and the version it replaces."""
+    best, holder, out = None, None, []
+    for item in items:
+        v = item[-1]
+        won = scores[v] >= floor if best is None else scores[v] >= best + margin
+        out.append((*item, won, holder if won else None))
+        if won:
+            best, holder = scores[v], v
+    return out
+
+
 @pytest.mark.parametrize("rising", [False, True])
-@pytest.mark.parametrize("margin", [0.0, 0.01])
-def test_sequence_equals_a_plain_walk(spark, fold_limit, rising, margin):
+@pytest.mark.parametrize("margin", [0.0, 0.01, -0.05, None])
+def test_sequence_equals_a_plain_walk(spark, rising, margin):
     rng = random.Random(5)
-    scores = [round(0.3 + (0.0011 * i if rising else rng.random() * 0.6), 4) for i in range(400)]
-    versions = [("m", str(i), s, "h", "v1") for i, s in enumerate(scores)]
+    scores = {str(i): round(0.3 + (0.0011 * i if rising else rng.random() * 0.6), 4) for i in range(400)}
+    versions = [("m", v, s, "h", "v1") for v, s in scores.items()]
+    policy = config(spark, 0.01).withColumn("margin", F.lit(margin).cast("double"))
+    out = gate.gate_sequence(requests(spark, [("m", v, "a") for v in scores]), policy, tags(spark, versions))
+    got = [(r["version"], r["decision"] == "promoted", r["previous_production"]) for r in out.orderBy("seq").collect()]
+    assert got == walk([(v,) for v in scores], scores, gate.MARGIN if margin is None else margin)
+
+
+def test_every_request_is_decided_once(spark):
+    """Equal seq at different times, many requests in one second, repeated requests, and requests without a time."""
+    rng = random.Random(11)
+    scores = {str(i): round(0.4 + rng.random() * 0.5, 3) for i in range(150)}
+    t = tags(spark, [("m", v, s, "h", "v1") for v, s in scores.items()])
+    items = [(rng.randint(0, 2), rng.randint(0, 3), v) for v in scores] + [(1, 1, "7")] * 5
+    asked = spark.createDataFrame(
+        [("m", v, "a", ts, seq) for ts, seq, v in items] + [("m", "3", "a", None, 0), ("m", "3", "a", None, 0)],
+        "model string, version string, approved_by string, ts long, seq long",
+    ).withColumn("ts", F.timestamp_seconds("ts"))
+    for margin in (0.02, -0.02):
+        out = gate.gate_sequence(asked, config(spark, margin), t).collect()
+        assert [r.status for r in out if r.ts is None] == [400, 400]
+        got = [(int(r.ts.timestamp()), r.seq, r.version, r.decision == "promoted", r.previous_production) for r in out if r.ts]
+        assert sorted(got, key=repr) == sorted(walk(sorted(items), scores, margin), key=repr)
+
+
+def test_a_negative_margin_starts_from_the_incumbent(spark):
+    scores = {"1": 0.5, "2": 0.47, "3": 0.43, "4": 0.9}
+    incumbents = spark.createDataFrame([("m", "0", 0.5)], "model string, incumbent_version string, incumbent_score double")
     out = gate.gate_sequence(
-        requests(spark, [("m", str(i), "a") for i in range(400)]), config(spark, margin), tags(spark, versions),
-        fold_limit=fold_limit,
-    )
-    best, holder, want = None, None, []
-    for i, s in enumerate(scores):
-        won = s >= 0.40 if best is None else s >= best + margin
-        want.append(("promoted", holder) if won else ("rejected", None))
-        if won:
-            best, holder = s, str(i)
-    assert [(r["decision"], r["previous_production"]) for r in out.orderBy("seq").collect()] == want
+        requests(spark, [("m", v, "a") for v in scores]), config(spark, -0.04),
+        tags(spark, [("m", v, s, "h", "v1") for v, s in scores.items()]), incumbents,
+    ).orderBy("seq").collect()
+    assert [(r.decision, r.previous_production) for r in out] == [
+        ("promoted", "0"), ("promoted", "1"), ("promoted", "2"), ("promoted", "3")
+    ]
 
 
 def test_registry_latest_tag_wins_and_backfill_is_idempotent(spark, rows):

@@ -59,19 +59,22 @@ def running(
     table and one sort. Null keys are a group of their own.
     """
     sums, maxima = sums or {}, maxima or {}
-    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*keys, block).orderBy(*order)
+    # Keys and block as one struct: equal where both have nulls, and the join and the window share its partitioning.
+    df = df.withColumn("_cell", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(block).alias("block")))
+    groups = [f"_cell.k{i}" for i in range(len(keys))]
+    before = Window.partitionBy(*groups).orderBy("_cell.block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_cell").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     ahead = inside.rowsBetween(Window.unboundedPreceding, -1)
-    parts = df.groupBy(*keys, block).agg(
+    parts = df.groupBy("_cell").agg(
         *[F.sum(v).alias(f"_part_{n}") for n, v in sums.items()],
         *[F.max(v).alias(f"_part_{n}") for n, v in maxima.items()],
     )
     carry = parts.select(
-        *keys, block,
+        "_cell",
         *[F.sum(f"_part_{n}").over(before).alias(f"_carry_{n}") for n in sums],
         *[F.max(f"_part_{n}").over(before).alias(f"_carry_{n}") for n in maxima],
     )
     added = {n: F.coalesce(f"_carry_{n}", F.lit(0)) + F.sum(v).over(upto) for n, v in sums.items()}
     added |= {n: F.greatest(f"_carry_{n}", F.max(v).over(ahead)) for n, v in maxima.items()}
-    return join_with_nulls(df, carry, [*keys, block]).withColumns(added).drop(*[f"_carry_{n}" for n in added])
+    return df.join(carry, "_cell").withColumns(added).drop("_cell", *[f"_carry_{n}" for n in added])

@@ -58,6 +58,20 @@ def write_examples(df: DataFrame, path: str, key: str, text: str, label: str, ta
     write_jsonl(split.select("split", messages(F.col(text), task, F.col(label)).alias("messages")), path, "split")
 
 
+def conversations(turns: DataFrame, conversation: str, position: str, role: str = "role", text: str = "text") -> DataFrame:
+    """One row per conversation: all its turns in order as ``messages``, and their number.
+
+    A conversation is one example, so its turns come together in one row; turns of equal position stand in the order of
+    role and text. Turns without a conversation belong to none.
+    """
+    turn_ = F.struct(F.col(position).alias("at"), F.col(role).alias("role"), F.col(text).alias("content"))
+    grouped = turns.where(F.col(conversation).isNotNull()).groupBy(conversation).agg(
+        F.array_sort(F.collect_list(turn_)).alias("_turns")
+    )
+    chat = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    return grouped.select(conversation, chat.alias("messages"), F.size("_turns").cast("bigint").alias("n_turns"))
+
+
 def reply_examples(turns: DataFrame, conversation: str, position: str) -> DataFrame:
     """One example per assistant turn: the turn before it and the reply.
 

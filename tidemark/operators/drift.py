@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import BINS, drift_band, entropy, psi_from_counts, unit_bin
-from tidemark.operators.blocked import join_with_nulls, running
+from tidemark.operators.blocked import join_with_nulls, range_blocks, running
 
 PSI_THRESHOLD = 0.2
 KS_ALPHA = 0.05
@@ -48,48 +46,37 @@ def psi_by_group(
 
 def ks_p_value(d: Column, n_ref: Column, n_cur: Column, terms: int = 100) -> Column:
     """Asymptotic two-sided p-value: the alternating Kolmogorov series."""
-    lam = d * F.sqrt(n_ref * n_cur / (n_ref + n_cur))
+    lam = d * F.sqrt(F.try_divide(n_ref * n_cur, n_ref + n_cur))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
         F.lit(0.0),
         lambda a, k: a + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(k * k * (lam * lam) * -2.0),
     )
     # Below 0.2 the series converges slowly and the p-value is 1 to twelve digits.
-    return F.when(lam < 0.2, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
-
-
-def value_cuts(values: DataFrame, value: str, cuts: int = 256) -> list[float]:
-    """Ascending cut points that split the values into about equal blocks; at most ``cuts``."""
-    points = [i / cuts for i in range(1, cuts)]
-    row = values.agg(F.percentile_approx(value, points, 10 * cuts).alias("q")).first()
-    return sorted({x for x in (row["q"] or []) if not math.isnan(x)})
+    return F.when(lam < 0.2, 1.0).when(lam.isNotNull(), F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
 def ks_two_sample(samples: DataFrame, value: str, side: str, *groups: str) -> DataFrame:
     """Largest gap between the two empirical distributions, per group, with its p-value.
 
     ``side`` is a boolean column, true for the reference sample. Values are counted first, so ties
-    cost one row; the running shares are taken in value blocks.
+    cost one row; the running shares are taken in value blocks, ranges of (group, value) whose number
+    grows with the data. A group whose values are all on one side has neither gap nor p-value, and a
+    group without any value is not there.
     """
     keys = list(groups)
     counted = samples.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         F.count_if(F.col(side)).alias("r"), F.count_if(~F.col(side)).alias("c")
     )
-    cuts = value_cuts(counted, value)
-    block = (
-        F.size(F.filter(F.array(*[F.lit(float(x)) for x in cuts]), lambda q: F.col(value) >= q))
-        if cuts
-        else F.lit(0)
-    )
-    counted = counted.withColumn("_block", block)
     keyed = keys or ["_all"]
     if not keys:
         counted = counted.withColumn("_all", F.lit(0))
+    counted = range_blocks(counted, [*keyed, value], "ks_counts")
     pair = running(
         counted, keyed, [value], "_block", sums={"cum_r": F.col("r"), "cum_c": F.col("c")}
     )
     totals = counted.groupBy(*keyed).agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    gap = F.max(F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur")))
+    gap = F.max(F.abs(F.try_divide("cum_r", "n_ref") - F.try_divide("cum_c", "n_cur")))
     out = (
         join_with_nulls(pair, totals, keyed)
         .groupBy(*keyed, "n_ref", "n_cur")
@@ -100,7 +87,10 @@ def ks_two_sample(samples: DataFrame, value: str, side: str, *groups: str) -> Da
 
 
 def drift_report(samples: DataFrame, value: str, side: str, *groups: str) -> DataFrame:
-    """One verdict per group: mean of both sides, stability index, KS, yes or no, watch band."""
+    """One verdict per group: mean of both sides, stability index, KS, yes or no, watch band.
+
+    A group with rows on one side only stays, with null for what needs both: index, gap, verdict and band.
+    """
     ref, cur = F.col(side), ~F.col(side)
     shape = samples.groupBy(*groups).agg(
         F.avg(F.when(ref, F.col(value))).alias("mean_ref"),
@@ -111,9 +101,9 @@ def drift_report(samples: DataFrame, value: str, side: str, *groups: str) -> Dat
     psi = psi_from_counts(F.col("h_ref"), F.col("h_cur"))
     shape = shape.withColumn("psi", psi).drop("h_ref", "h_cur")
     return (
-        join_with_nulls(shape, ks_two_sample(samples, value, side, *groups), list(groups))
-        .withColumn("drift", F.when(F.col("psi") > PSI_THRESHOLD, "yes").otherwise("no"))
-        .withColumn("band", drift_band(F.col("psi")))
+        join_with_nulls(shape, ks_two_sample(samples, value, side, *groups), list(groups), "left")
+        .withColumn("drift", F.when(F.col("psi") > PSI_THRESHOLD, "yes").when(F.col("psi").isNotNull(), "no"))
+        .withColumn("band", F.when(F.col("psi").isNotNull(), drift_band(F.col("psi"))))
     )
 
 

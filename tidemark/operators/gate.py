@@ -1,35 +1,49 @@
 """The promotion gate: ordered checks of one request, and requests in sequence per model.
 
 Requests are ``(model, version, approved_by, ts, seq)``; the configuration is
-``(model, expected_hash, expected_schema, margin, floor, metric_label)`` with one row per model.
+``(model, expected_hash, expected_schema, margin, floor, metric_label)`` with one row per model. A margin may be
+negative; a missing margin or floor is that of the default policy.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocked import running, time_block
-from tidemark.operators.registry import dossiers
+from tidemark.operators.blocked import range_blocks, running
+from tidemark.operators.registry import DOSSIER, dossiers
+from tidemark.operators.search import next_at_least, reached
 from tidemark.session import materialise
 
-# Default policy.
+# Default policy, for models whose configuration lacks a margin or a floor.
 MARGIN = 0.01
 FLOOR = 0.40
 
-FOLD_LIMIT = 100_000  # rows of one model that may be folded in one array; beyond it, rounds
+ORDER = ["ts", "seq", "version", "approved_by"]
+
 
+def with_dossiers(
+    requests: DataFrame, config: DataFrame, tags: DataFrame, evidence: DataFrame | None = None
+) -> DataFrame:
+    """Requests with their model's configuration and their candidate's dossier, where there are any.
 
-def with_dossiers(requests: DataFrame, config: DataFrame, tags: DataFrame) -> DataFrame:
-    """Requests with their model's configuration and their candidate's dossier, where there are any."""
-    known = config.withColumn("_configured", F.lit(True))
-    return requests.join(known, "model", "left").join(dossiers(tags), ["model", "version"], "left").withColumn(
+    ``evidence``, ``(model, version, n_regressed, agreement)``, brings the further rules into the gate; ``_extra`` then
+    has the one that the candidate breaks, else null.
+    """
+    known = config.withColumns({
+        "margin": F.coalesce("margin", F.lit(MARGIN)), "floor": F.coalesce("floor", F.lit(FLOOR)), "_configured": F.lit(True)
+    })
+    keys = DOSSIER if evidence is None else [*DOSSIER, "data_version"]
+    rows = requests.join(known, "model", "left").join(dossiers(tags, keys), ["model", "version"], "left").withColumn(
         "score", F.col("test_f1").cast("double")
     )
+    if evidence is None:
+        return rows.withColumn("_extra", F.lit(None).cast("string"))
+    found = evidence.select("model", "version", "n_regressed", "agreement")
+    return rows.join(found, ["model", "version"], "left").withColumn("_extra", extended_refusal())
 
 
+# The reasons, which audits and their readers compare word for word.
 def static_refusal() -> Column:
     """Status and reason of the first check that fails before scores are compared; null if none."""
     def refuse(status: int, reason: Column) -> Column:
@@ -55,6 +69,14 @@ def static_refusal() -> Column:
                 F.format_string("schema %s incompatible with %s", F.col("schema_version"), F.col("expected_schema")),
             ),
         ),
+        F.when(F.col("_extra").isNotNull(), refuse(409, F.col("_extra"))),
+    )
+
+
+def undated() -> Column:
+    """Refusal of a request without a time, which has no place in a sequence; null for others."""
+    return F.when(
+        F.col("ts").isNull(), F.struct(F.lit(400).alias("status"), F.lit("request has no timestamp").alias("reason"))
     )
 
 
@@ -86,114 +108,64 @@ def _decide(rows: DataFrame, static: Column, version: Column, score: Column) ->
     )
 
 
+def decided(rows: DataFrame) -> DataFrame:
+    """Decisions on rows that carry ``_static`` and the ``incumbent_version`` and ``incumbent_score`` they met."""
+    return _decide(rows, F.col("_static"), F.col("incumbent_version"), F.col("incumbent_score"))
+
+
 def gate_snapshot(
-    requests: DataFrame, config: DataFrame, tags: DataFrame, incumbents: DataFrame
+    requests: DataFrame, config: DataFrame, tags: DataFrame, incumbents: DataFrame, evidence: DataFrame | None = None
 ) -> DataFrame:
     """Every request decided on its own against the models now in production.
 
     ``incumbents``: ``(model, incumbent_version, incumbent_score)``.
     """
-    rows = with_dossiers(requests, config, tags).join(incumbents, "model", "left")
-    rows = rows.withColumn("_static", static_refusal())
-    return _decide(rows, F.col("_static"), F.col("incumbent_version"), F.col("incumbent_score"))
+    rows = with_dossiers(requests, config, tags, evidence).join(incumbents, "model", "left")
+    return decided(rows.withColumn("_static", static_refusal()))
 
 
 def gate_sequence(
-    requests: DataFrame,
-    config: DataFrame,
-    tags: DataFrame,
-    incumbents: DataFrame | None = None,
-    block_seconds: int = 3600,
-    fold_limit: int = FOLD_LIMIT,
+    requests: DataFrame, config: DataFrame, tags: DataFrame, incumbents: DataFrame | None = None,
+    evidence: DataFrame | None = None,
 ) -> DataFrame:
-    """Requests decided in order of (ts, seq); an accepted one is the incumbent of the next.
+    """Requests decided in order of (ts, seq, version, approver); an accepted one is the incumbent of the next.
 
-    An accepted score is never below an earlier eligible score of its model: each of those was either
-    accepted, hence beaten, or fell short of a bar that the accepted score clears. So only running
-    maxima can be accepted. They come from blocked running aggregates; the chain of acceptances is
-    followed through them alone, and each request then meets the last acceptance before it.
+    One row per request, repeated ones included; a request without a time has no place in the order and is refused.
+    An acceptance leads to the next request whose score clears its bar: these links are found for all requests at once,
+    and the chain of acceptances is followed over them by pointer jumping. Each request then meets the last acceptance
+    before it. Where the margin is not negative only running maxima can be accepted, so no others are searched.
     """
-    rows = with_dossiers(requests, config, tags)
+    rows = with_dossiers(requests, config, tags, evidence)
     if incumbents is None:
         rows = rows.withColumn("incumbent_version", F.lit(None).cast("string")).withColumn(
             "incumbent_score", F.lit(None).cast("double")
         )
     else:
         rows = rows.join(incumbents, "model", "left")
-    rows = materialise(rows.withColumn("_static", static_refusal()), "gate_requests")
-    order = ["ts", "seq"]
-    eligible = rows.where("_static is null").withColumn("_block", time_block(F.col("ts"), block_seconds))
-    bar = F.coalesce(F.col("incumbent_score") + F.col("margin"), F.col("floor"))
-    records = running(eligible, ["model"], order, "_block", maxima={"_best": F.col("score")}).where(
-        (F.col("_best").isNull() | (F.col("score") >= F.col("_best"))) & (F.col("score") >= bar)
+    rows = range_blocks(rows.withColumn("_static", F.coalesce(static_refusal(), undated())), ["model", *ORDER], "gate_requests")
+    order = [*ORDER, "_id"]
+    eligible = rows.where("_static is null")
+    best = running(eligible, ["model"], order, "_block", maxima={"_best": F.col("score")})
+    records = best.where(F.col("_best").isNull() | (F.col("score") >= F.col("_best")) | (F.col("margin") < 0))
+    placed = running(records, ["model"], order, "_block", sums={"pos": F.lit(1)}).select(
+        "model", "pos", "_id", "score", (F.col("score") + F.col("margin")).alias("bar")
     )
-    accepted = _accepted(
-        materialise(
-            records.select("model", "ts", "seq", "version", "score", "margin", bar.alias("bar")), "gate_records"
-        ),
-        fold_limit,
+    bar = F.coalesce(F.col("incumbent_score") + F.col("margin"), F.col("floor"))
+    start = eligible.select("model", F.lit(0).cast("bigint").alias("pos"), bar.alias("bar")).distinct()
+    placed = materialise(placed.unionByName(start, allowMissingColumns=True), "gate_records")
+    chain = reached(next_at_least(placed, "model", "pos", "score", "bar"), "model", "pos")
+    accepted = placed.where("pos > 0").join(chain, ["model", "pos"], "left_semi").select("_id")
+    marked = eligible.join(accepted.withColumn("_accepted", F.lit(True)), "_id", "left")
+    known = running(
+        marked, ["model"], order, "_block", maxima={"_last": F.when(F.col("_accepted"), F.struct(*order, "score"))}
     )
-    marks = accepted.select("model", "seq", F.struct("ts", "seq", "version", "score").alias("_won"))
-    marked = eligible.join(marks, ["model", "seq"], "left")
-    known = running(marked, ["model"], order, "_block", maxima={"_last": F.col("_won")})
     decided = _decide(
         known, F.col("_static"),
         F.coalesce("_last.version", "incumbent_version"), F.coalesce("_last.score", "incumbent_score"),
     )
-    refused = rows.where("_static is not null")
     nothing = F.lit(None)
-    return decided.unionByName(
-        _decide(refused, F.col("_static"), nothing.cast("string"), nothing.cast("double"))
-    )
-
-
-def _accepted(records: DataFrame, fold_limit: int) -> DataFrame:
-    """The chain of acceptances through the running maxima of each model."""
-    sizes = records.groupBy("model").agg(F.count("*").alias("m"))
-    largest = sizes.agg(F.max("m")).first()[0] or 0
-    if largest <= fold_limit:
-        return _fold(records)
-    small = sizes.where(F.col("m") <= fold_limit)
-    folded = _fold(records.join(small, "model", "left_semi"))
-    return folded.unionByName(_rounds(records.join(small, "model", "left_anti")))
-
-
-def _fold(records: DataFrame) -> DataFrame:
-    item = "struct<ts: {ts}, seq: bigint, version: string, score: double, margin: double>".format(
-        ts=records.schema["ts"].dataType.simpleString()
-    )
-    folded = records.groupBy("model").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "seq", "version", "score", "margin"))).alias("r"),
-        F.first("bar").alias("bar"),
-    )
-    start = F.struct(F.col("bar"), F.array().cast(f"array<{item}>").alias("won"))
-    won = F.aggregate(
-        "r",
-        start,
-        lambda acc, x: F.when(
-            x["score"] >= acc["bar"],
-            F.struct((x["score"] + x["margin"]).alias("bar"), F.concat(acc["won"], F.array(x)).alias("won")),
-        ).otherwise(acc),
-        lambda acc: acc["won"],
-    )
-    return folded.select("model", F.explode(won).alias("w")).select("model", "w.ts", "w.seq", "w.version", "w.score")
-
-
-def _rounds(records: DataFrame) -> DataFrame:
-    """One acceptance per model and round. A margin above 0 bounds the rounds by range / margin; a
-    margin of 0 accepts every running maximum, so those need no rounds."""
-    won = [records.where("margin = 0").select("model", "ts", "seq", "version", "score")]
-    left = records.where("margin > 0")
-    bars = left.groupBy("model").agg(F.first("bar").alias("need"))
-    while True:
-        # Scores only rise along the records, so those that clear the bar come after the last winner.
-        first = F.min(F.struct("ts", "seq", "version", "score", "margin"))
-        ahead = left.join(bars, "model").where(F.col("score") >= F.col("need"))
-        step = materialise(ahead.groupBy("model").agg(first.alias("w")).select("model", "w.*"), "gate_round")
-        if step.isEmpty():
-            return reduce(DataFrame.unionByName, won)
-        won.append(step.select("model", "ts", "seq", "version", "score"))
-        bars = step.select("model", (F.col("score") + F.col("margin")).alias("need"))
+    refused = _decide(rows.where("_static is not null"), F.col("_static"), nothing.cast("string"), nothing.cast("double"))
+    return decided.unionByName(refused)
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:
@@ -209,7 +181,7 @@ def audit_summary(audit: DataFrame) -> DataFrame:
 
 
 def extended_refusal() -> Column:
-    """Optional further rules, first failure wins; null if none.
+    """Optional further rules, first failure wins; null if none. A gate that is given evidence applies them.
 
     Reads ``n_regressed`` (classes that lost over 2 points), ``agreement`` with the teacher, and the
     lineage tags ``data_version``, ``code_commit`` and ``schema_version``.

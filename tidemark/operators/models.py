@@ -192,7 +192,13 @@ def by_kind(table: dict[str, Callable], kind: str) -> Callable:
 
 
 def score_by_kind(requests: DataFrame, kind: str, scorers: dict[str, object]) -> DataFrame:
-    """Rows scored by the scorer of their kind, which sees only its own rows."""
+    """Rows scored by the scorer of their kind, which sees only its own rows.
+
+    A row of another kind, or of none, is an error, found before anything is scored.
+    """
+    known = F.coalesce(F.col(kind).isin(list(scorers)), F.lit(False))
+    for row in requests.where(~known).select(kind).take(1):
+        by_kind(scorers, row[0])
     parts = [s.score(requests.where(F.col(kind) == k)) for k, s in scorers.items()]
     out = parts[0]
     for p in parts[1:]:

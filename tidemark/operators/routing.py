@@ -86,6 +86,19 @@ def route(
     return reduce(DataFrame.unionByName, parts), broken
 
 
+def prediction_log(answers: DataFrame, models: DataFrame, ts: str = "ts") -> DataFrame:
+    """Answers as the log keeps them: adds ``label`` (of classifications), ``model_version``, ``model_kind`` and ``ts``.
+
+    ``models``: ``(served_by, model_version, model_kind)``, one row per backend in production. A backend that is not
+    there leaves nulls; a request that has no time gets the present.
+    """
+    served = models.select(F.col("served_by"), "model_version", "model_kind")
+    when = F.coalesce(F.col(ts).cast("timestamp"), F.current_timestamp()) if ts in answers.columns else F.current_timestamp()
+    return answers.join(served, "served_by", "left").withColumns(
+        {"label": F.when(F.col("served_by") != SUMMARIZER, F.col("output")), ts: when}
+    )
+
+
 def served_shares(answers: DataFrame) -> DataFrame:
     """Requests and escalations per backend, with the backend's share of all requests."""
     counts = answers.groupBy("served_by").agg(F.count("*").alias("n"), F.count_if("escalated").alias("n_escalated"))

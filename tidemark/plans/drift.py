@@ -217,8 +217,10 @@ FROM m JOIN p USING (lang) JOIN ks USING (lang)
 def drift_report(spark, sf_dir):
     """Each language batch against the English reference, which is repeated per batch."""
     rates = written_rates(spark, sf_dir).select("lang", "oov_rate", "is_ref")
-    batches = F.array(*[F.lit(x) for x in ("de", "en", "es", "fr")])
-    reference = rates.where("is_ref").select(F.explode(batches).alias("lang"), "oov_rate", "is_ref")
+    # Structs, so that a null language is a batch of its own.
+    batches = rates.where("not is_ref").agg(F.collect_set(F.struct("lang"))).scalar()
+    reference = rates.where("is_ref").select(F.explode(batches).alias("batch"), "oov_rate", "is_ref")
+    reference = reference.select("batch.lang", "oov_rate", "is_ref")
     samples = reference.unionByName(rates.where("not is_ref"))
     out = drift.drift_report(samples, "oov_rate", "is_ref", "lang")
     rounded = ["mean_ref", "mean_current", "psi", "ks", "ks_p"]

@@ -120,6 +120,14 @@ def config(spark, sf_dir):
     ), "gate_config")
 
 
+def incumbents(spark, sf_dir):
+    """In production: the last version per model that scores between 0.5 and 0.7; model m3 has none."""
+    fit = candidates(spark, sf_dir).where("gap <> 0 and score between 0.5 and 0.7 and model <> 'm3'")
+    return fit.groupBy("model").agg(
+        F.max_by("version", "seq").alias("incumbent_version"), F.max_by("score", "seq").alias("incumbent_score")
+    )
+
+
 @query(
     "registry_state",
     "WITH " + TAGS + """
@@ -153,12 +161,9 @@ FROM r
 """,
 )
 def gate_snapshot(spark, sf_dir):
-    """In production: the last version per model that scores between 0.5 and 0.7; model m3 has none."""
-    fit = candidates(spark, sf_dir).where("gap <> 0 and score between 0.5 and 0.7 and model <> 'm3'")
-    incumbents = fit.groupBy("model").agg(
-        F.max_by("version", "seq").alias("incumbent_version"), F.max_by("score", "seq").alias("incumbent_score")
+    out = gate.gate_snapshot(
+        requests(spark, sf_dir), config(spark, sf_dir), tag_events(spark, sf_dir), incumbents(spark, sf_dir)
     )
-    out = gate.gate_snapshot(requests(spark, sf_dir), config(spark, sf_dir), tag_events(spark, sf_dir), incumbents)
     return out.select("model", "version", "decision", "status", "reason", "previous_production")
 
 
@@ -225,6 +230,48 @@ def gate_extended(spark, sf_dir):
     return rows.select("model", "version", gate.extended_refusal().alias("reason"))
 
 
+INCUMBENTS = """,
+inc AS (SELECT model, arg_max(version, seq) AS iv, arg_max(score, seq) AS s FROM dossier JOIN e USING (model, version, score)
+        WHERE score BETWEEN 0.5 AND 0.7 AND model <> 'm3' GROUP BY model),
+"""
+
+
+@query(
+    "gate_with_evidence",
+    "WITH " + TAGS + INCUMBENTS + f"""
+x AS (SELECT model, version, {h('reg').replace('event_id', 'seq')} % 4 - 1 AS n_regressed,
+             (80 + {h('agree').replace('event_id', 'seq')} % 20) / 100 AS agreement, seq FROM e),
+r AS (SELECT c.*, iv, s,
+             coalesce(static_reason, CASE WHEN x.n_regressed > 0 THEN 'a class regresses by more than 2 points'
+                      WHEN x.agreement < 0.9 THEN 'teacher agreement below 90%'
+                      WHEN x.seq % 9 = 0 OR x.seq % 11 = 0 THEN 'lineage incomplete' END) AS rule,
+             CASE WHEN s IS NULL THEN CASE WHEN score < floor THEN """ + FLOOR_REASON + """ END
+             WHEN score < s + margin THEN """ + margin_reason("iv", "s") + """ END AS why
+      FROM checked c LEFT JOIN inc USING (model) JOIN x ON x.model = c.model AND x.version = c.version)
+SELECT model, version, CASE WHEN coalesce(rule, why) IS NULL THEN 'promoted' ELSE 'rejected' END AS decision,
+       coalesce(static_status, CASE WHEN coalesce(rule, why) IS NULL THEN 200 ELSE 409 END) AS status,
+       coalesce(rule, why) AS reason, CASE WHEN coalesce(rule, why) IS NULL THEN iv END AS previous_production
+FROM r
+""",
+)
+def gate_with_evidence(spark, sf_dir):
+    """The snapshot gate with the further rules: per-class regression, teacher agreement, lineage."""
+    rows, seq = candidates(spark, sf_dir), F.col("seq")
+    evidence = rows.select(
+        "model", "version", (hash_int(seq, "reg") % 4 - 1).alias("n_regressed"),
+        ((hash_int(seq, "agree") % 20 + 80) / 100).alias("agreement"),
+    )
+    lineage = F.array(
+        F.struct(F.lit("data_version").alias("key"), F.when(seq % 9 != 0, "d1").alias("value")),
+        F.struct(F.lit("code_commit").alias("key"), F.when(seq % 11 != 0, "c1").alias("value")),
+    )
+    tags = tag_events(spark, sf_dir).unionByName(
+        rows.select("model", "version", "ts", "seq", F.inline(lineage)).where("value is not null")
+    )
+    out = gate.gate_snapshot(requests(spark, sf_dir), config(spark, sf_dir), tags, incumbents(spark, sf_dir), evidence)
+    return out.select("model", "version", "decision", "status", "reason", "previous_production")
+
+
 LINEAGE = """
 l AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'START' WHEN event_type <> 'error' THEN 'COMPLETE' ELSE 'FAIL' END AS event_type,
              event_id // 2 AS run, ts FROM events)
@@ -351,6 +398,26 @@ def backends():
     }
 
 
+SERVING = [
+    (routing.STUDENT, "m1", "distilbert"), (routing.BIG, "m2", "lora_adapter"), (routing.SUMMARIZER, "m17", "lora_adapter")
+]
+SERVING_SQL = f"""
+SELECT s.served_by, cast(max(event_id) AS varchar) AS model_version, s.model_kind
+FROM (VALUES {", ".join(map(str, SERVING))}) s(served_by, model, model_kind)
+JOIN events ON concat('m', user_id % 20) = s.model GROUP BY s.served_by, s.model_kind
+"""
+
+
+def serving_models(spark, sf_dir):
+    """The newest version of the model behind each backend, with its kind."""
+    behind = spark.createDataFrame(SERVING, "served_by string, model string, model_kind string")
+    newest = registry.latest_versions(tag_events(spark, sf_dir))
+    return materialise(
+        behind.join(newest, "model").select("served_by", F.col("version").cast("string").alias("model_version"), "model_kind"),
+        "serving_models",
+    )
+
+
 @query("route_plan", ROUTED + "SELECT doc_id, task, tier, first AS backend, problem FROM p")
 def route_plan(spark, sf_dir):
     task, tier = F.col("task"), F.col("tier")

@@ -203,6 +203,25 @@ def encoding_check(spark, sf_dir):
     return validate.encoding_report(table(spark, sf_dir, "documents"), "text", "lang")
 
 
+@query(
+    "encoding_quarantine",
+    """
+WITH d AS (SELECT doc_id, text, doc_id % 7 = 3 AS cut FROM documents),
+m AS (SELECT doc_id, text IS NULL AS missing, cut OR coalesce(contains(text, chr(65533)), false) AS broken FROM d)
+SELECT doc_id, CASE WHEN missing THEN 'text_null' ELSE 'text_encoding' END AS breaches FROM m WHERE missing OR broken
+""",
+)
+def encoding_quarantine(spark, sf_dir):
+    """Every seventh text ends in the middle of a character; what is no UTF-8 goes to quarantine."""
+    whole = F.col("text").cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 7 == 3, F.concat(whole, F.lit(b"\xe2\x82")).cast("string")).otherwise(F.col("text")).alias("text"),
+        F.col("lang").alias("label"),
+    )
+    _, broken = validate.split_batch(docs, labelled_text("langs4_utf8", ["en", "de", "fr", "es"], ("text",)))
+    return broken.select("doc_id", F.array_join("breaches", ",").alias("breaches"))
+
+
 @query(
     "corrupt_then_validate",
     f"""

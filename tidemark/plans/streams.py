@@ -91,17 +91,28 @@ def stream_drift(spark, sf_dir):
     return out.withColumn("start", F.date_format("start", "yyyy-MM-dd'T'HH:mm")).withColumn("psi", F.round("psi", 6))
 
 
-@query("stream_route", ORACLES["cascade"])
+@query(
+    "stream_route",
+    f"""
+WITH c AS ({ORACLES["cascade"]}), m AS ({governance.SERVING_SQL})
+SELECT c.*, CASE WHEN c.served_by <> 'summarizer' THEN c.output END AS label, m.model_version, m.model_kind,
+       strftime(TIMESTAMP '2024-01-01' + to_minutes(c.doc_id), '%Y-%m-%dT%H:%M') AS ts
+FROM c LEFT JOIN m USING (served_by)
+""",
+)
 def stream_route(spark, sf_dir):
     def pick(salt, names):
         return F.get(F.array(*[F.lit(v) for v in names.values()]), (hash_int(F.col("doc_id"), salt) % 5).cast("int"))
 
-    requests = stream(spark, sf_dir, "documents").select(
-        "doc_id", pick("task", governance.TASKS).alias("task"), pick("tier", governance.TIERS).alias("tier"), "lang", "source"
+    requests = documents_in_time(stream(spark, sf_dir, "documents")).select(
+        "doc_id", pick("task", governance.TASKS).alias("task"), pick("tier", governance.TIERS).alias("tier"), "lang", "source", "ts"
     )
     path = new_path(spark, "predictions")
-    jobs.answer(requests, governance.backends(), path).awaitTermination()
-    return spark.read.parquet(f"{path}/answers").select("doc_id", "output", "served_by", "escalated")
+    jobs.answer(requests, governance.backends(), path, governance.serving_models(spark, sf_dir)).awaitTermination()
+    return spark.read.parquet(f"{path}/answers").select(
+        "doc_id", "output", "served_by", "escalated", "label", "model_version", "model_kind",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("ts"),
+    )
 
 
 @query("stream_gate", ORACLES["gate_sequence"])
@@ -111,10 +122,15 @@ def stream_gate(spark, sf_dir):
         F.when(F.col("event_type") == "signup", "").otherwise("ops").alias("approved_by"), "ts",
         F.col("event_id").alias("seq"),
     )
-    path = new_path(spark, "promotions")
-    jobs.decide_promotions(
-        requests, governance.config(spark, sf_dir), governance.tag_events(spark, sf_dir), path
-    ).awaitTermination()
+    path, ticks = new_path(spark, "promotions"), new_path(spark, "clock")
+    spark.createDataFrame([], "ts timestamp").write.parquet(ticks)
+    for _ in range(2):
+        # The second run goes on from the first one's state; the tick settles what waits for its time.
+        jobs.decide_promotions(
+            requests, governance.config(spark, sf_dir), governance.tag_events(spark, sf_dir), path, delay="1 hour",
+            clock=jobs.read_files(spark, ticks, "ts timestamp"),
+        ).awaitTermination()
+        spark.sql("select timestamp '9999-01-01 00:00:00' as ts").coalesce(1).write.mode("append").parquet(ticks)
     return spark.read.parquet(f"{path}/audit").select("model", "version", "decision", "status", "reason", "previous_production")
 
 

@@ -60,6 +60,25 @@ def conversation_messages(spark, sf_dir):
     )
 
 
+@query(
+    "conversation_array",
+    """
+SELECT conv_id, cast(count(*) AS bigint) AS n_turns,
+       md5(string_agg(concat(role, chr(10), text), chr(10) ORDER BY turn)) AS messages_md5,
+       arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role
+FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+""",
+)
+def conversation_array(spark, sf_dir):
+    """Every conversation as one array of messages."""
+    rows = chat.conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit("\n"), m["content"]))
+    return rows.select(
+        "conv_id", "n_turns", F.md5(F.array_join(lines, "\n")).alias("messages_md5"),
+        F.col("messages")[0]["role"].alias("first_role"), F.element_at("messages", -1)["role"].alias("last_role"),
+    )
+
+
 def summary_pairs(spark, sf_dir):
     """Reference: a reply. Adapter candidate: the turn before it. Base candidate: its first sentence."""
     ship_package(spark)

@@ -10,15 +10,21 @@ from pyspark.sql import types as T
 
 # The label vocabulary of schema v1, in the order that models index it.
 LABELS = ["bullish", "bearish", "neutral"]
+REPLACEMENT = "\ufffd"
 
 
 @dataclass(frozen=True)
 class TextSchema:
-    """Columns with their types and, per column, the values it may hold (none: any)."""
+    """Columns with their types and, per column, the values it may hold (none: any).
+
+    The columns in ``encoded`` may hold neither bytes that are no UTF-8 nor the replacement character that stands for
+    such bytes once they have been read away.
+    """
 
     name: str
     columns: T.StructType
     allowed: dict[str, tuple[str, ...]]
+    encoded: tuple[str, ...] = ()
 
     def rules(self) -> dict[str, Column]:
         """Name of each rule and the condition under which a row breaks it."""
@@ -30,6 +36,11 @@ class TextSchema:
                 out[f"{field.name}_vocabulary"] = F.col(field.name).isNotNull() & ~F.col(field.name).isin(
                     list(self.allowed[field.name])
                 )
+            if field.name in self.encoded:
+                text = F.col(field.name)
+                out[f"{field.name}_encoding"] = F.coalesce(
+                    ~F.is_valid_utf8(text) | F.contains(text, F.lit(REPLACEMENT)), F.lit(False)
+                )
         return out
 
     def column_problems(self, found: T.StructType) -> list[str]:
@@ -47,12 +58,14 @@ class TextSchema:
         return problems
 
 
-def labelled_text(name: str, labels: list[str]) -> TextSchema:
+def labelled_text(name: str, labels: list[str], encoded: tuple[str, ...] = ()) -> TextSchema:
     columns = T.StructType(
         [T.StructField("text", T.StringType(), False), T.StructField("label", T.StringType(), False)]
     )
-    return TextSchema(name, columns, {"label": tuple(labels)})
+    return TextSchema(name, columns, {"label": tuple(labels)}, encoded)
 
 
 SCHEMA_V1 = labelled_text("v1", LABELS)
-SCHEMAS = {"v1": SCHEMA_V1}
+#: As v1, and texts must be whole UTF-8.
+SCHEMA_V2 = labelled_text("v2", LABELS, ("text",))
+SCHEMAS = {"v1": SCHEMA_V1, "v2": SCHEMA_V2}

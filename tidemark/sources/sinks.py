@@ -40,6 +40,15 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.withColumn("ts", F.current_timestamp()).write.mode("append").parquet(path)
 
 
+def write_report(df: DataFrame, path: str, about: dict[str, str]) -> None:
+    """Result table of a benchmark run as one JSON document: the fields of ``about``, and the rows in ``rows``.
+
+    For summaries, one row per level or setting: the rows meet in one document, in the order of their columns.
+    """
+    rows = df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias("rows"))
+    rows.select(*[F.lit(v).alias(k) for k, v in about.items()], "rows").write.mode("overwrite").json(path)
+
+
 def append_run(spark, path: str, run_id: str, values: dict) -> None:
     """Parameters and metrics of one run as ``(run_id, key, value)`` rows; values are strings."""
     rows = [(run_id, k, str(v)) for k, v in values.items()]

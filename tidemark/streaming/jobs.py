@@ -2,22 +2,25 @@
 
 Sinks written in ``foreachBatch`` go to one ``batch_id=`` folder per micro-batch in overwrite mode, so
 a batch that is replayed after a failure replaces its own output. A job reads all that is there and
-stops (``availableNow``) or, given another trigger, goes on.
+stops (``availableNow``) or, given another trigger, goes on. A job that is given no checkpoint keeps it beside its
+output, so starting it again on that output goes on where it stopped.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.scores import psi_from_counts, unit_bin
 from tidemark.functions.text import tokens
-from tidemark.operators import drift, gate, registry, routing, validate
+from tidemark.operators import drift, gate, routing, validate
 from tidemark.operators.pool import text_hash
 from tidemark.operators.scorers import Scorer
 from tidemark.schemas import TextSchema
-from tidemark.session import new_path
+from tidemark.streaming import promotions
 
 NOW = {"availableNow": True}
 
@@ -30,19 +33,29 @@ def read_files(spark: SparkSession, folder: str, schema, pattern: str = "*.parqu
     return reader.parquet(folder)
 
 
-def _batches(stream: DataFrame, write, checkpoint: str | None, trigger: dict) -> StreamingQuery:
-    place = checkpoint or new_path(stream.sparkSession, "checkpoint")
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", place).trigger(**trigger).start()
+def _batches(stream: DataFrame, write, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def _append(stream: DataFrame, path: str, checkpoint: str | None, trigger: dict) -> StreamingQuery:
-    place = checkpoint or new_path(stream.sparkSession, "checkpoint")
     return (
         stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", place).option("path", path).trigger(**trigger).start()
+        .option("checkpointLocation", checkpoint or f"{path}/_checkpoint").option("path", path).trigger(**trigger).start()
     )
 
 
+@contextmanager
+def _rocks(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which keyed state with timers needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -54,7 +67,7 @@ def land(stream: DataFrame, schema: TextSchema, root: str, name: str, checkpoint
         _write_batch(good, f"{root}/validated/{name}", batch_id)
         _write_batch(broken, f"{root}/quarantine/{name}", batch_id)
 
-    return _batches(stream, write, checkpoint, trigger)
+    return _batches(stream, write, checkpoint or f"{root}/_checkpoints/{name}", trigger)
 
 
 def unique_texts(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -103,41 +116,48 @@ def watch_drift(windows: DataFrame, path: str, checkpoint=None, trigger=NOW) ->
 
 
 def answer(
-    stream: DataFrame, backends: dict[str, Scorer], path: str, checkpoint=None, trigger=NOW,
+    stream: DataFrame, backends: dict[str, Scorer], path: str, models: DataFrame, checkpoint=None, trigger=NOW,
     threshold: float = routing.THRESHOLD,
 ) -> StreamingQuery:
-    """Routes and scores requests; answers go to the prediction log, the rest to quarantine."""
+    """Routes and scores requests; answers go to the prediction log, the rest to quarantine.
+
+    ``models`` says which version and kind serves each backend, see ``routing.prediction_log``.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         answers, broken = routing.route(batch, backends, threshold, strict=False)
-        _write_batch(answers, f"{path}/answers", batch_id)
+        _write_batch(routing.prediction_log(answers, models), f"{path}/answers", batch_id)
         _write_batch(broken, f"{path}/quarantine", batch_id)
 
-    return _batches(stream, write, checkpoint, trigger)
+    return _batches(stream, write, checkpoint or f"{path}/_checkpoint", trigger)
 
 
 def decide_promotions(
-    stream: DataFrame, config: DataFrame, tags: DataFrame, path: str, checkpoint=None, trigger=NOW
+    stream: DataFrame, config: DataFrame, tags: DataFrame, path: str, checkpoint=None, trigger=NOW, delay: str = "0 seconds",
+    clock: DataFrame | None = None, incumbents: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Promotion requests in order of arrival: decisions to ``audit``, models in production to ``state``.
+    """Promotion requests in order of their time, whatever the order in which they come.
 
-    A micro-batch starts from the state that the batch before it left (one row per model), runs the
-    batch gate, and leaves its own. So no batch reads the history, and a model with very many
-    requests is spread over tasks like any other.
+    Decisions go to ``audit`` once the watermark, the latest time seen less ``delay``, has reached the request; until then
+    the request waits in the state of its model. Requests whose millisecond the watermark had reached when they came are
+    late and go to ``quarantine``. ``clock`` is a stream with a column ``ts`` that moves the watermark when no request
+    does, at the end of a feed for instance. ``incumbents`` are those of the batch gate, for the first start only.
+    Configuration and tags are those at the start of the job.
     """
+    none = {"model": "string", "version": "string", "approved_by": "string", "seq": "bigint"}
+    asked = stream.select(*[F.col(c).cast(t) for c, t in none.items()], F.col("ts").cast("timestamp").alias("ts"), F.lit(False).alias("_tick"))
+    if clock is not None:
+        ticks = clock.select(*[F.lit(None).cast(t).alias(c) for c, t in none.items()], F.col("ts").cast("timestamp").alias("ts"), F.lit(True).alias("_tick"))
+        asked = asked.unionByName(ticks)
+    rows = gate.with_dossiers(asked.withWatermark("ts", delay), config, tags)
+    rows = rows.withColumn("_static", F.coalesce(gate.static_refusal(), gate.undated()))
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}") if batch_id > 0 else None
-        _write_batch(gate.gate_sequence(batch, config, tags, earlier), f"{path}/audit", batch_id)
-        won = registry.production_pointer(spark.read.parquet(f"{path}/audit/batch_id={batch_id}"))
-        state = won.join(registry.dossiers(tags, ["test_f1"]), ["model", "version"]).select(
-            "model", F.col("version").alias("incumbent_version"),
-            F.col("test_f1").cast("double").alias("incumbent_score"),
-        )
-        if earlier is not None:
-            state = state.unionByName(earlier.join(won, "model", "left_anti"))
-        _write_batch(state, f"{path}/state", batch_id)
-
-    return _batches(stream, write, checkpoint, trigger)
+        _write_batch(gate.decided(batch.where("not late")), f"{path}/audit", batch_id)
+        _write_batch(batch.where("late").select("model", "version", "approved_by", "ts", "seq"), f"{path}/quarantine", batch_id)
+
+    spark = stream.sparkSession
+    with _rocks(spark):
+        return _batches(promotions.in_order(rows, incumbents), write, checkpoint or f"{path}/_checkpoint", trigger)
 
 
 def delayed_pairs(
