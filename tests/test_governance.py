@@ -162,6 +162,40 @@ def test_closure_ends_on_a_cycle(spark, rows):
     assert rows(lineage.closure(e, spark.createDataFrame([("a",)], "dataset string"))) == [("a", 0), ("b", 1)]
 
 
+def depths(pairs, seeds):
+    known, todo = dict.fromkeys(seeds, 0), list(seeds)
+    for node in todo:
+        for a, b in pairs:
+            if a == node and b not in known:
+                known[b] = known[node] + 1
+                todo.append(b)
+    return sorted(known.items(), key=repr)
+
+
+def test_closure_follows_a_long_chain_in_few_rounds(spark, monkeypatch):
+    written = []
+    real = lineage.materialise
+    monkeypatch.setattr(lineage, "materialise", lambda df, name: written.append(name) or real(df, name))
+    n = 10_000
+    chain = spark.range(n).select(F.lit("j").alias("job"), F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"))
+    out = lineage.closure(chain, spark.createDataFrame([("0",)], "dataset string"))
+    assert out.count() == n + 1 and out.where("depth != cast(dataset as int)").count() == 0
+    assert len(written) < 25
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_closure_has_the_least_depths(spark, rows, seed):
+    """Trees, chains of different length between the same datasets, circles with and without a way in, several seeds."""
+    rng = random.Random(seed)
+    pairs = [(f"c{i}", f"c{i + 1}") for i in range(20)] + [("c0", "x"), ("x", "c20"), ("c20", "c5"), ("c20", "c21")]
+    pairs += [("r1", "r2"), ("r2", "r3"), ("r3", "r1"), ("r3", "out"), ("s", "s"), ("s", "t")]
+    pairs += [(f"n{rng.randrange(40)}", f"n{rng.randrange(40)}") for _ in range(45)] + [("c21", "n0"), ("c7", "n1")]
+    e = spark.createDataFrame([("j", *p) for p in pairs], "job string, src string, dst string")
+    for start in (["c0"], ["n3", "r2", "c5", "absent", "s"]):
+        got = lineage.closure(e, spark.createDataFrame([(x,) for x in start], "dataset string"))
+        assert rows(got) == depths(sorted(set(pairs)), start)
+
+
 CASES = [
     ("summarize", "", 0.1, "summarizer", False), ("classify", "accurate", 0.1, "llm_sentiment", False),
     ("classify", "cheap", 0.10, "student", False), ("classify", "escalate", 0.99, "student", False),

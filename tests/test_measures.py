@@ -51,11 +51,7 @@ def test_tokens_and_oov_on_both_paths(spark):
 def test_tfidf_matches_the_definition(spark):
     texts = ["up up down", "down flat", "flat flat flat rise"]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
-    got, other = [
-        {(r["k"], r["token"]): r["weight"] for r in token_ops.tfidf(df, "k", "text", broadcast_limit=limit).collect()}
-        for limit in (0, 100)
-    ]
-    assert got == other
+    got = {(r["k"], r["token"]): r["weight"] for r in token_ops.tfidf(df, "k", "text").collect()}
     bags = [t.split() for t in texts]
     for k, bag in enumerate(bags):
         raw = {w: bag.count(w) * (math.log(4 / (1 + sum(w in b for b in bags))) + 1) for w in set(bag)}

@@ -5,7 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.operators import models
-from tidemark.operators.scorers import ModelScorer
+from tidemark.operators.scorers import ModelScorer, RuleScorer
 
 LABELS = ["bullish", "bearish", "neutral"]
 TEXTS = [
@@ -71,7 +71,13 @@ def test_distilled_student_agrees_with_its_teacher(spark, train):
     assert a == b
 
 
-def test_dispatch_by_kind(spark, train):
+def test_dispatch_by_kind(spark, rows):
     assert models.by_kind({"a": 1}, "a") == 1
     with pytest.raises(KeyError):
         models.by_kind({"a": 1}, "b")
+    scorers = {"a": RuleScorer(F.lit("x")), "b": RuleScorer(F.lit("y"))}
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, kind string")
+    assert rows(models.score_by_kind(df, "kind", scorers).select("id", "output")) == [(1, "x"), (2, "y"), (3, "x")]
+    for odd in ("c", None):
+        with pytest.raises(KeyError):
+            models.score_by_kind(df.union(spark.createDataFrame([(4, odd)], df.schema)), "kind", scorers)

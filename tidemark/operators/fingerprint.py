@@ -20,24 +20,25 @@ def row_digest(columns: list[str]):
     return F.sha2(F.concat_ws("|", *fields), 256)
 
 
-def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row ``(n_rows, digest)``: equal for equal bags of rows in any order or partitioning.
+def table_fingerprint(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
+    """One row ``(n_rows, digest)``: equal for equal bags of rows in any order or partitioning; one per value of ``by``.
 
     Equal rows are counted first, so copies cost nothing; the digests are then combined in a tree
     by leading hex digits, where a node has a bounded number of children.
     """
     columns = columns or sorted(df.columns)
+    group = [by] if by else []
     level = (
-        df.select(row_digest(columns).alias("h"))
-        .groupBy("h")
+        df.select(*group, row_digest(columns).alias("h"))
+        .groupBy(*group, "h")
         .agg(F.count("*").alias("n"))
-        .select("h", "n", F.concat_ws(":", "h", "n").alias("part"))
+        .select(*group, "h", "n", F.concat_ws(":", "h", "n").alias("part"))
     )
     for digits in LEVELS:
         level = (
-            level.groupBy(F.substring("h", 1, digits).alias("h"))
+            level.groupBy(*group, F.substring("h", 1, digits).alias("h"))
             .agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("part")).alias("parts"))
-            .select("h", "n", F.sha2(F.array_join("parts", ","), 256).alias("digest"))
-            .select("h", "n", "digest", F.concat_ws(":", "h", "digest").alias("part"))
+            .select(*group, "h", "n", F.sha2(F.array_join("parts", ","), 256).alias("digest"))
+            .select(*group, "h", "n", "digest", F.concat_ws(":", "h", "digest").alias("part"))
         )
-    return level.select(F.col("n").alias("n_rows"), "digest")
+    return level.select(*group, F.col("n").alias("n_rows"), "digest")

@@ -5,8 +5,6 @@ Events are ``(event_type, run_id, job, inputs, outputs, ts)`` with event types S
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,28 +39,66 @@ def edges(events: DataFrame) -> DataFrame:
     )
 
 
+def _climb(single: DataFrame) -> DataFrame:
+    """``dataset, up, steps``: the first ancestor with another number of sources than one, and how far it is.
+
+    ``single`` holds the datasets with one source as ``dataset, up`` with ``steps`` 1. Each round doubles the reach of
+    all of them, so rounds grow with the logarithm of the longest chain. What still climbs after as many rounds as
+    there are chains to cover goes round a circle that nothing enters, and is left out.
+    """
+    state, reach, n = materialise(single, "lineage-climb"), 1, None
+    while True:
+        above = state.select(F.col("dataset").alias("up"), F.col("up").alias("_up"), F.col("steps").alias("_steps"))
+        met = state.join(above, "up", "left")
+        moved = materialise(
+            met.select(
+                "dataset", F.coalesce("_up", "up").alias("up"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
+                F.col("_up").isNotNull().alias("_climbs"),
+            ), "lineage-climb",
+        )
+        if moved.where("_climbs").isEmpty():
+            return moved.drop("_climbs")
+        n = n if n is not None else moved.count()
+        reach *= 2
+        state = moved.drop("_climbs")
+        if reach > 2 * n:
+            return state.join(state.select(F.col("dataset").alias("up")), "up", "left_anti").select("dataset", "up", "steps")
+
+
 def closure(edge_table: DataFrame, seeds: DataFrame, downstream: bool = True) -> DataFrame:
     """Datasets that can be reached from the seeds, with their least number of steps.
 
-    One join per step; each new frontier is written, so lineage stays short and a lost executor costs
-    one step. Work and result are linear in the edges: only datasets are kept, never paths.
+    A dataset with one source is as deep as that source and one step more. So all of these are hung on the first
+    ancestor that has several sources (or is a seed) by pointer jumping, whatever the length of the chain, and only
+    those ancestors are walked step by step, over edges that carry the length of the chain between them. Each frontier
+    is written, so a lost executor costs one round. Only datasets are kept, never paths.
     """
     a, b = ("src", "dst") if downstream else ("dst", "src")
-    hops = materialise(edge_table.select(F.col(a).alias("dataset"), F.col(b).alias("next")).distinct(), "edges")
-    frontier = materialise(seeds.select("dataset").distinct().withColumn("depth", F.lit(0)), "frontier")
-    found = [frontier]
+    hops = materialise(edge_table.select(F.col(a).alias("source"), F.col(b).alias("dataset")).distinct(), "edges")
+    start = materialise(seeds.select("dataset").distinct().withColumn("depth", F.lit(0)), "frontier")
+    single = hops.groupBy("dataset").agg(F.min("source").alias("up"), F.count("*").alias("_n")).where("_n = 1")
+    single = single.join(start, "dataset", "left_anti").select("dataset", "up", F.lit(1).alias("steps"))
+    hung = _climb(single)
+    joints = hops.join(hung.select("dataset"), "dataset", "left_anti").join(
+        hung.select(F.col("dataset").alias("source"), "up", "steps"), "source", "left"
+    )
+    joints = materialise(
+        joints.select(F.coalesce("up", "source").alias("source"), "dataset", (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+        .groupBy("source", "dataset").agg(F.min("steps").alias("steps")), "lineage-joints",
+    )
+    known, frontier = start, start
     while True:
-        seen = reduce(DataFrame.unionByName, found).select("dataset")
-        step = (
-            frontier.join(hops, "dataset")
-            .select(F.col("next").alias("dataset"), F.lit(len(found)).alias("depth"))
-            .distinct()
-            .join(seen, "dataset", "left_anti")
-        )
-        frontier = materialise(step, "frontier")
+        ahead = frontier.select(F.col("dataset").alias("source"), F.col("depth").alias("_depth")).join(joints, "source")
+        ahead = ahead.groupBy("dataset").agg(F.min(F.col("_depth") + F.col("steps")).alias("depth"))
+        # Chains differ in length, so a later round may still find a shorter way.
+        old = known.select("dataset", F.col("depth").alias("_old"))
+        better = ahead.join(old, "dataset", "left").where("_old is null or depth < _old").select("dataset", "depth")
+        frontier = materialise(better, "frontier")
         if frontier.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        found.append(frontier)
+            break
+        known = materialise(known.join(frontier, "dataset", "left_anti").unionByName(frontier), "lineage-known")
+    below = hung.join(known.select(F.col("dataset").alias("up"), "depth"), "up")
+    return known.unionByName(below.select("dataset", (F.col("depth") + F.col("steps")).alias("depth")))
 
 
 # Failure causes and the log signatures that tell them, in order.

@@ -68,17 +68,17 @@ def document_frequency(df: DataFrame, text: str) -> DataFrame:
     return counts.withColumn("idf", F.ln((F.col("_n") + 1) / (F.col("df") + 1)) + 1).drop("_n")
 
 
-def tfidf(df: DataFrame, key: str, text: str, broadcast_limit: int = BROADCAST_TOKENS) -> DataFrame:
-    """Weights tf * idf scaled to unit length per text.
+def weighted_tokens(df: DataFrame, key: str, text: str, frequency: DataFrame) -> DataFrame:
+    """``key, token, cnt, df, idf, weight``: tf * idf scaled to unit length per text, over the tokens in ``frequency``.
 
-    With a vocabulary small enough to broadcast the texts are shuffled once, by key: counts, weights
-    and the norm (a window over the distinct tokens of one text) all keep that partitioning.
+    ``frequency`` should be a written table, so that its measured size decides how it is joined: where it is
+    broadcast the texts are shuffled once, by key, and counts, weights and the norm keep that partitioning.
     """
-    frequency = materialise(document_frequency(df, text), "document_frequency")
-    if frequency.count() <= broadcast_limit:
-        frequency = F.broadcast(frequency)
-    weighted = token_counts(df, key, text).join(frequency, "token").withColumn(
-        "raw", F.col("cnt") * F.col("idf")
-    )
+    weighted = token_counts(df, key, text).join(frequency, "token").withColumn("raw", F.col("cnt") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return weighted.withColumn("weight", F.col("raw") / norm).drop("raw")
+
+
+def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Weights tf * idf scaled to unit length per text, with the frequencies of the same texts."""
+    return weighted_tokens(df, key, text, materialise(document_frequency(df, text), "document_frequency"))

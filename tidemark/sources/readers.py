@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import map_values, strip
 from tidemark.operators.fingerprint import table_fingerprint
+from tidemark.sources.quoted import file_digests, read_quoted_csv
 
 # Label words and codes of the three kinds of source.
 CODE_LABELS = {0: "bearish", 1: "bullish", 2: "neutral"}
@@ -29,11 +30,7 @@ def read_coded_csv(
     spark: SparkSession, path: str, schema: str = "text string, label int", labels: dict | None = None
 ) -> DataFrame:
     """Labelled CSV with a header: text and an integer label. ``schema`` lists the file's columns."""
-    raw = (
-        spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', multiLine=True)
-        .csv(path)
-    )
+    raw = read_quoted_csv(spark, path, schema)
     return raw.select("text", map_values(F.col("label"), labels or CODE_LABELS).alias("label"))
 
 
@@ -76,11 +73,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_headlines_csv(spark: SparkSession, path: str) -> DataFrame:
     """Quoted CSV with the single column ``text``."""
-    return (
-        spark.read.schema("text string")
-        .options(header=True, quote='"', escape='"', multiLine=True)
-        .csv(path)
-    )
+    return read_quoted_csv(spark, path, "text string")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -128,18 +121,11 @@ def require_paired(orphans: DataFrame) -> None:
         raise ValueError(f"no partner for {first.asDict()}")
 
 
-def file_manifest(spark: SparkSession, path: str, digest: bool = True) -> DataFrame:
-    """Every file below a directory with its size and content digest."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    cols = ["path", "length"]
-    return files.select(*cols, F.md5("content").alias("md5")) if digest else files.select(*cols)
-
-
 def dataset_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row: number of files, total bytes and an order-free digest of names and contents."""
     root = path.rstrip("/") + "/"
     rel = F.substr(F.col("path"), F.instr("path", root) + len(root))
-    files = file_manifest(spark, path).select(rel.alias("name"), "length", "md5")
+    files = file_digests(spark, path).select(rel.alias("name"), "length", "digest")
     totals = files.agg(F.count("*").alias("nfiles"), F.sum("length").alias("size"))
-    whole = table_fingerprint(files, ["name", "length", "md5"]).select("digest")
+    whole = table_fingerprint(files, ["name", "length", "digest"]).select("digest")
     return totals.withColumn("digest", whole.scalar())

@@ -20,6 +20,8 @@ from tidemark.operators import drift, gate, routing, validate
 from tidemark.operators.pool import text_hash
 from tidemark.operators.scorers import Scorer
 from tidemark.schemas import TextSchema
+from tidemark.sources.feed_stream import labelled
+from tidemark.sources.readers import FEED_LABELS
 from tidemark.streaming import promotions
 
 NOW = {"availableNow": True}
@@ -70,6 +72,17 @@ def land(stream: DataFrame, schema: TextSchema, root: str, name: str, checkpoint
     return _batches(stream, write, checkpoint or f"{root}/_checkpoints/{name}", trigger)
 
 
+def land_feed(articles: DataFrame, schema: TextSchema, root: str, name: str, checkpoint=None, trigger=NOW) -> StreamingQuery:
+    """Articles of ``feed_stream.read_feed_stream`` to the validated zone, broken ones and broken pages to quarantine."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        good, broken = validate.split_batch(labelled(batch, FEED_LABELS), schema)
+        _write_batch(good, f"{root}/validated/{name}", batch_id)
+        pages = batch.where("problem is not null").select("page", F.array("problem").alias("breaches"))
+        _write_batch(broken.unionByName(pages, allowMissingColumns=True), f"{root}/quarantine/{name}", batch_id)
+
+    return _batches(articles, write, checkpoint or f"{root}/_checkpoints/{name}", trigger)
+
+
 def unique_texts(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Drops repeated texts; a text is remembered for ``delay`` of event time."""
     return (
