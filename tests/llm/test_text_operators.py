@@ -58,6 +58,23 @@ def test_page_text(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<p style='backface-visibility:hidden'>seen</p><p style='visibility:hidden'>not</p>", "seen"),
+    ("<!-->seen<!--->too<!-- not --!> and this<!-- not", "seentoo and this"),
+    ("<p title=it's>Don't lose this</p><p title='a>b'>nor this</p>", "Don't lose this\n\nnor this"),
+    ("<p title=\"open>text</p>end", "text\n\nend"),
+    ("<details><summary>more</summary>folded<p>folded</p></details>end", "more\nend"),
+    ("<details open><summary>more</summary>shown</details>", "more\nshown"),
+    ("<ol><li value=5>a<li>b</ol>", "5. a\n6. b"),
+    ("<ol reversed start=3><li>a<li>b</ol>", "3. a\n2. b"),
+    ("<p style='display:\tnone'>not</p><p style='DISPLAY: none !important'>not</p>x", "x"),
+    ("<p style='white-space:pre-line'>a   b\n  c</p>", "a b\nc"),
+    ("<pre>a  b<span style='white-space:normal'>  c   d</span></pre>", "a  b c d"),
+])
+def test_page_text_that_is_shown_or_not(page, text):
+    assert html_text.render(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 20_000 + "x") == "x"
     assert html_text.render("<ul><li>" * 200 + "x").endswith("x")

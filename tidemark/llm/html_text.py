@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.frames import free_name, map_batches
 
+# A quote opens a value only after an equals sign, so one inside an unquoted value ends nothing.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')|=)*)>?",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
+PRE = {"pre": True, "pre-wrap": True, "break-spaces": True, "pre-line": "lines", "normal": False, "nowrap": False}
+WHOLE = re.compile("-?[0-9]{1,9}")
 WORDS = re.compile(r"[^ \t\n\f\r]+")
 # Element names and their roles, from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -73,6 +76,12 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
+def declarations(style: str) -> dict[str, str]:
+    """The properties of a style attribute; the last of equal ones holds."""
+    parts = (p.partition(":") for p in style.lower().split(";"))
+    return {name.strip(): value.replace("!important", "").strip() for name, _, value in parts}
+
+
 def events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
     """('open', tag, attributes), ('close', tag, {}) and ('text', text, {}); opens and closes are well nested."""
     stack: list[str] = []
@@ -246,11 +255,11 @@ class Layout:
         self.spans: list[tuple[int, int]] = []
         self.lists: list[list] = []
         # tag, gone, unseen, pre, did something, and where: in "svg" (its stray text is not shown), "label" (a text
-        # element of svg), "math" or ""
-        self.open: list[tuple[str, bool, bool, bool, bool, str]] = []
+        # element of svg), "math", "closed" (details of which only the summary shows) or ""
+        self.open: list[tuple[str, bool, bool, bool | str, bool, str]] = []
 
     def visible(self) -> bool:
-        return not self.open or not (self.open[-1][1] or self.open[-1][2] or self.open[-1][5] == "svg")
+        return not self.open or not (self.open[-1][1] or self.open[-1][2] or self.open[-1][5] in ("svg", "closed"))
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
         gone, unseen, pre = self.open[-1][1:4] if self.open else (False, False, False)
@@ -259,15 +268,20 @@ class Layout:
             where = tag
         elif where in ("svg", "label") and tag in ("text", "foreignobject"):
             where = "label" if tag == "text" else ""
-        style = attrs.get("style", "").lower().replace(" ", "") if attrs else ""
+        folded = where == "closed"
+        if folded:
+            where = outer = ""
+        if tag == "details" and "open" not in attrs:
+            where = "closed"
+        style = declarations(attrs["style"]) if "style" in attrs else {}
         gone = (
-            gone or tag in HIDDEN or "hidden" in attrs or "display:none" in style
+            gone or tag in HIDDEN or "hidden" in attrs or style.get("display") == "none" or (folded and tag != "summary")
             or (tag == "input" and attrs.get("type", "").lower() == "hidden") or (tag == "dialog" and "open" not in attrs)
             or (outer and tag in HIDDEN_FOREIGN)
         )
-        if "visibility:" in style:
-            unseen = "visibility:hidden" in style or "visibility:collapse" in style
-        pre = pre or tag in ("pre", "textarea", "xmp") or "white-space:pre" in style
+        if style.get("visibility") in ("hidden", "collapse", "visible"):
+            unseen = style["visibility"] != "visible"
+        pre = PRE.get(style.get("white-space"), pre or tag in ("pre", "textarea", "xmp"))
         acts = not gone
         inside = self.open[-1][0] if self.open else ""
         self.open.append((tag, gone, unseen, pre, acts, where))
@@ -307,11 +321,13 @@ class Layout:
             block.margin(1 if tag in SPACED and not (tag in ("ul", "ol") and self.lists) else 0)
             if tag in ("ul", "ol"):
                 first = attrs.get("start", "1")
-                self.lists.append([tag, int(first) if re.fullmatch("-?[0-9]{1,9}", first) else 1])
+                self.lists.append([tag, int(first) if WHOLE.fullmatch(first) else 1, -1 if "reversed" in attrs and "start" in attrs else 1])
             elif tag == "li":
-                kind = self.lists[-1] if self.lists else ["ul", 1]
+                kind = self.lists[-1] if self.lists else ["ul", 1, 1]
+                if WHOLE.fullmatch(attrs.get("value", "")):
+                    kind[1] = int(attrs["value"])
                 block.marker = "- " if kind[0] == "ul" else f"{kind[1]}. "
-                kind[1] += 1
+                kind[1] += kind[2]
                 block.indent.append(" " * len(block.marker))
             elif tag in ("blockquote", "dd"):
                 block.indent.append("    ")
@@ -348,6 +364,16 @@ class Layout:
         if not self.visible():
             return
         block = self.blocks[-1]
+        if self.open and self.open[-1][3] == "lines":
+            for i, part in enumerate(data.replace("\r\n", "\n").replace("\r", "\n").split("\n")):
+                if i:
+                    block.line(keep_empty=True)
+                words = WORDS.findall(part)
+                if words:
+                    block.space = block.space or part[0] in " \t\f"
+                    block.word(" ".join(words))
+                    block.space = part[-1] in " \t\f"
+            return
         if self.open and self.open[-1][3]:
             parts = data.replace("\r\n", "\n").replace("\r", "\n").split("\n")
             for i, part in enumerate(parts):
