@@ -20,6 +20,8 @@ from tidemark.llm.frames import free_name
 from tidemark.session import materialise
 
 BLANKS = " \t\r\x0b\x0c"
+#: Numbers of lines, 8 bytes each, up to which they are broadcast; beyond it they are shuffled with the texts.
+BROADCAST_IDS = 1 << 21
 IDS = ["h1", "h2"]
 
 
@@ -127,20 +129,28 @@ def near_lines(distinct: DataFrame, edits: int, least: int) -> DataFrame:
 
     ``distinct`` has one row ``h1, h2, first, line`` per line; ``earlier`` says that the other line comes first.
     """
-    own = distinct.where(F.length("line") >= least)
-    keyed = own.select(*IDS, F.explode(segment_keys(F.col("line"), edits)).alias("k")).select(*IDS, "k.key", "k.index")
+    # Written once with a number for each line, so that keys carry 8 bytes and texts are not shuffled again.
+    own = materialise(
+        distinct.where(F.length("line") >= least).withColumn("id", F.monotonically_increasing_id()), "line-distinct"
+    )
+    # The low bit of the tag says that the key is an index entry.
+    tag = F.col("id") * 2 + F.col("k.index").cast("bigint")
+    keyed = own.select("id", F.explode(segment_keys(F.col("line"), edits)).alias("k")).select("k.key", tag.alias("tag"))
     dealt = keyed.where("key IS NOT NULL").repartition("key")
     # This and the join below read the same columns, so they share one shuffle. An inner join on keys that are unique:
     # a semi join would be pushed below the shuffle.
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in IDS for f in (F.min, F.max)]
-    met = dealt.groupBy("key").agg(*ends, F.max("index").alias("indexed")).where(
-        "indexed AND (min_h1 != max_h1 OR min_h2 != max_h2)"
+    met = dealt.groupBy("key").agg(F.min("tag").alias("low"), F.max("tag").alias("high"), F.max(F.col("tag") % 2).alias("indexed")).where(
+        "indexed = 1 AND shiftright(low, 1) != shiftright(high, 1)"
     ).select("key")
-    live = materialise(dealt.join(met.hint("shuffle_hash"), "key"), "line-keys")
-    texts = materialise(
-        own.join(live.select(*IDS).distinct(), IDS, "left_semi").withColumn("bits", parity(F.col("line"))), "line-texts"
+    live = dealt.join(met.hint("shuffle_hash"), "key").select(
+        "key", F.shiftright("tag", 1).alias("id"), (F.col("tag") % 2 == 1).alias("index")
     )
-    full = live.join(texts, IDS)
+    live = materialise(live, "line-keys")
+    wanted = materialise(live.select("id").distinct(), "line-ids")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    texts = materialise(own.join(wanted, "id").withColumn("bits", parity(F.col("line"))), "line-texts")
+    full = live.join(texts, "id")
     index = full.where("index").select("key", *[F.col(c).alias(f"i_{c}") for c in (*IDS, "first", "line", "bits")])
     near = (
         ((F.col("h1") != F.col("i_h1")) | (F.col("h2") != F.col("i_h2")))
