@@ -1,6 +1,10 @@
 """Chat formatting, page text, archives, quality rules and secrets on small tables."""
 
 import hashlib
+import math
+import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -230,6 +234,22 @@ def test_secret_candidates_of_odd_texts(spark):
     assert sorted(measured.columns) == sorted([*found.columns, *secrets.FEATURES])
 
 
+def test_a_very_long_run_is_measured_in_one_pass(spark):
+    """A picture in a text: 400,000 key characters without a break; its pairs are those of a plain walk."""
+    run = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=400_000))
+    docs = spark.createDataFrame([(1, f"src={run}"), (2, "plain words here plain words here plain words here")], "doc_id bigint, text string")
+    start = time.perf_counter()
+    got = secrets.measure(secrets.find_candidates(docs), secrets.dictionary(docs, least=1)).select("length", "pairs").first()
+    assert got["length"] == len(run) + 4
+    counts = Counter()
+    for part in re.findall("[a-z]{3,}", f"src={run} plain words here plain words here plain words here".lower()):
+        counts.update(part[i: i + 2] for i in range(len(part) - 1))
+    whole, total = f"src={run}".lower(), counts.total()
+    logs = [math.log(counts[p] / total) if p in counts else -16.0 for p in (whole[i: i + 2] for i in range(len(whole) - 1))]
+    assert abs(got["pairs"] - sum(logs) / len(logs)) < 1e-9
+    assert time.perf_counter() - start < 60
+
+
 def test_every_run_of_a_word_is_a_finding(spark):
     a, b = "0123456789abcdef" * 2 + "01234567", "fedcba9876543210" * 2
     rows = [

@@ -77,26 +77,28 @@ def _letters(candidate: Column) -> Column:
 
 
 def _pairs(text: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(2)))
+    """Every two neighbouring characters, in one pass over the text."""
+    return F.regexp_extract_all(text, F.lit("(?=(..))"), F.lit(1))
 
 
 def measure(findings: DataFrame, words: DataFrame) -> DataFrame:
     """``findings`` with the columns of FEATURES; ``words`` is the result of ``dictionary``.
 
-    Each different candidate is measured once. Pairs of the 36 letters and digits make at most 1,296 rows, so their
+    Each different candidate is measured once; what is exploded from it carries its number, not its text. Pairs of the 36 letters and digits make at most 1,296 rows, so their
     table may be broadcast; dictionary parts are joined by shuffle.
     """
-    own = findings.select("candidate").distinct()
+    own = findings.select("candidate").distinct().withColumn("_id", F.monotonically_increasing_id())
+    own = materialise(own, "candidates")
     counts = words.select("n", F.explode(_pairs(F.col("part"))).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n"))
     total = counts.agg(F.sum("n").alias("all"))
     logs = counts.join(F.broadcast(total)).select("pair", F.log(F.col("n") / F.col("all")).alias("log"))
-    pairs = own.select("candidate", F.explode(_pairs(F.lower("candidate"))).alias("pair"))
-    usual = pairs.join(F.broadcast(logs), "pair", "left").groupBy("candidate").agg(
+    pairs = own.select("_id", F.explode(_pairs(F.lower("candidate"))).alias("pair"))
+    usual = pairs.join(F.broadcast(logs), "pair", "left").groupBy("_id").agg(
         F.avg(F.coalesce("log", F.lit(-16.0))).alias("pairs")
     )
-    parts = own.select("candidate", F.explode(_letters(F.col("candidate"))).alias("part"))
-    known = parts.join(words.select("part"), "part").groupBy("candidate").agg(F.sum(F.length("part")).alias("known"))
-    measured = own.join(usual, "candidate", "left").join(known, "candidate", "left")
+    parts = own.select("_id", F.explode(_letters(F.col("candidate"))).alias("part"))
+    known = parts.join(words.select("part"), "part").groupBy("_id").agg(F.sum(F.length("part")).alias("known"))
+    measured = own.join(usual, "_id", "left").join(known, "_id", "left")
     c, size = F.col("candidate"), F.length("candidate")
     share = lambda kind: F.length(F.regexp_replace(c, f"[^{kind}]", "")) / size
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0")
