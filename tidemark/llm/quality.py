@@ -148,7 +148,12 @@ def fit_rules(
     rows: dict[str, np.ndarray], bad: np.ndarray, held: np.ndarray, precision: float = 0.9, most_rules: int = 12,
     most_conditions: int = 4, cuts: int = 65,
 ) -> list[Rule]:
-    """Sequential covering: rules grown on rows not ``held``, pruned and judged on those held out."""
+    """Sequential covering: rules grown on rows not ``held``, pruned and judged on those held out.
+
+    The list stays readable by its limits: ``most_rules`` rules of ``most_conditions`` conditions each, thresholds at the
+    ``cuts`` inner quantiles of a column. They bound the classifier, not the rows it judges; covering ends earlier at the
+    first rule whose precision on held-out rows is below ``precision``.
+    """
     rules: list[Rule] = []
     left = np.ones(len(bad), bool)
     while len(rules) < most_rules and (left & bad & ~held).any():
