@@ -106,9 +106,8 @@ def _segment_start(length: Column, i: int, edits: int) -> Column:
     return F.floor(length * i / (edits + 1)).cast("int")
 
 
-def segment_keys(line: Column, edits: int) -> Column:
-    """Array of (key, index): the substrings a line probes with; those that are its own segments are also the index."""
-    n = F.length(line)
+def segment_keys(line: Column, n: Column, edits: int) -> Column:
+    """Array of (key, index): the substrings a line of ``n`` code points probes with; its own segments are also the index."""
     out = []
     for gap in range(edits + 1):
         other = n - gap
@@ -131,11 +130,14 @@ def near_lines(distinct: DataFrame, edits: int, least: int) -> DataFrame:
     """
     # Written once with a number for each line, so that keys carry 8 bytes and texts are not shuffled again.
     own = materialise(
-        distinct.where(F.length("line") >= least).withColumn("id", F.monotonically_increasing_id()), "line-distinct"
+        distinct.withColumn("n", F.length("line")).where(F.col("n") >= least).withColumn("id", F.monotonically_increasing_id()),
+        "line-distinct",
     )
     # The low bit of the tag says that the key is an index entry.
     tag = F.col("id") * 2 + F.col("k.index").cast("bigint")
-    keyed = own.select("id", F.explode(segment_keys(F.col("line"), edits)).alias("k")).select("k.key", tag.alias("tag"))
+    # Lengths are read, not counted again for each key, and the array is a projection, where common parts are shared.
+    listed = own.select("id", segment_keys(F.col("line"), F.col("n"), edits).alias("ks"))
+    keyed = listed.select("id", F.explode("ks").alias("k")).select("k.key", tag.alias("tag"))
     dealt = keyed.where("key IS NOT NULL").repartition("key")
     # This and the join below read the same columns, so they share one shuffle. An inner join on keys that are unique:
     # a semi join would be pushed below the shuffle.
