@@ -18,6 +18,9 @@ are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -28,24 +31,53 @@ from tidemark.llm.quadtree import Quadtree, height, joint_sums
 from tidemark.operators.blocked import range_blocks, running
 from tidemark.session import materialise, ship_package
 
+#: In UTF-8 a term is a run of ASCII letters and of bytes above 0x7F: what is neither becomes a blank, A-Z become a-z.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows and columns of a block: at most 2^21 cells a side in a task.
-ROWS, COLS = 1 << 7, 1 << 14
+_BLANKED = bytes(b if b > 0x7F or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
+#: Terms that a task counts before it sends its counts on.
+HELD = 1 << 19
+#: Rows and columns of a block: at most 2^19 cells a side in a task.
+ROWS, COLS = 1 << 7, 1 << 12
+
+
+def _flush(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (n, df) in held.items():
+        # A null term says that the group is there.
+        terms = pa.array([*n, None], pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), terms,
+             pa.array([*n.values(), 0], pa.int64()), pa.array([*(df[t] for t in n), 0], pa.int64())],
+            ["lang", "source", "term", "n", "df"],
+        )
+    held.clear()
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's rows by group, sent on whenever enough different terms are held."""
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    size = 0
+    for batch in batches:
+        langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        for text, lang, source in zip(batch.column(0), langs, sources, strict=True):
+            n, df = held.setdefault((lang, source), (Counter(), Counter()))
+            terms, before = text.as_py().translate(_BLANKED).split(), len(n)
+            n.update(terms)
+            df.update(set(terms))
+            size += len(n) - before
+            if size > HELD:
+                yield from _flush(held)
+                size = 0
+    yield from _flush(held)
 
 
 def term_counts(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """``lang, source, term, n, df``: occurrences and documents; one row of null term keeps groups without any.
-
-    The words of a row are sorted, so the first of each run counts the document without a shuffle of its own.
-    """
-    words = F.sort_array(F.regexp_extract_all(F.translate(text_or_empty(text), UPPER, LOWER), F.lit(TERM), F.lit(0)))
-    rows = docs.select(text_or_empty(lang).alias("lang"), text_or_empty(source).alias("source"), words.alias("_words"))
-    first = lambda w, i: (i == 0) | (w != F.get("_words", i - 1))
-    marked = F.transform("_words", lambda w, i: F.struct(w.alias("term"), first(w, i).cast("int").alias("df")))
-    return rows.select("lang", "source", F.inline_outer(marked)).groupBy("lang", "source", "term").agg(
-        F.count("term").alias("n"), F.coalesce(F.sum("df"), F.lit(0)).alias("df")
+    """``lang, source, term, n, df``: occurrences and documents; one row of null term keeps groups without any."""
+    ship_package(docs.sparkSession)
+    rows = docs.select(
+        text_or_empty(text).cast("binary").alias("text"), text_or_empty(lang).alias("lang"), text_or_empty(source).alias("source")
     )
+    parts = rows.mapInArrow(_count, "lang string, source string, term string, n bigint, df bigint")
+    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def _numbered(df: DataFrame, order: list[str], name: str, number: str) -> DataFrame:
