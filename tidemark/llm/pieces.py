@@ -7,7 +7,7 @@ position. For a BPE model the highest sum of scores is not what the model means,
 the best edge that joins two neighbouring segments, until none does; ties go to the left.
 
 Words are cut only where no piece of the model crosses, so folding words apart changes nothing. No text is shuffled:
-words meet within a batch and in a bounded cache of each worker.
+words meet within a batch and in a bounded cache of each worker. Decoding is a Spark expression.
 """
 
 from __future__ import annotations
@@ -20,13 +20,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.frames import free_name, map_batches
 
 SPACE = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 WIDE = 63  # boundaries that fit a word of bits; longer words are folded one by one
-CACHE = 300_000  # words a worker remembers
+CACHE = 200_000  # words a worker remembers
 BITS = 18
 
 
@@ -295,29 +296,21 @@ def _points(words: list[str]) -> np.ndarray:
     return np.frombuffer(raw, np.uint32).astype(np.uint64)
 
 
-class Decoder:
-    def __init__(self, model: Model):
-        self.prefix = model.prefix
-        self.parts = [
-            b"" if k == 3 else bytes([int(p[3:5], 16)]) if k == 6 else " ⁇ ".encode() if k == 2
-            else p.replace(SPACE, " ").encode()
-            for p, k in zip(model.pieces, model.kinds, strict=True)
-        ]
-        self.unknown = self.parts[model.unknown]
-
-    def decode(self, ids: list[int]) -> str:
-        n = len(self.parts)
-        text = b"".join(self.parts[i] if i is not None and 0 <= i < n else self.unknown for i in ids).decode("utf-8", "replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+def piece_bytes(model: Model) -> list[bytes]:
+    """What each piece id reads as."""
+    return [
+        b"" if k == 3 else bytes([int(p[3:5], 16)]) if k == 6 else " ⁇ ".encode() if k == 2 else p.replace(SPACE, " ").encode()
+        for p, k in zip(model.pieces, model.kinds, strict=True)
+    ]
 
 
-_ready: list = [None, None, None]
+_ready: list = [None, None]
 
 
-def _of(tables, kind):
-    """The encoder or decoder of a broadcast model, built once per worker process."""
-    if _ready[0] is not tables or not isinstance(_ready[1], kind):
-        _ready[:] = [tables, kind(tables.value), None]
+def _of(tables) -> Encoder:
+    """The encoder of a broadcast model, built once per worker process."""
+    if _ready[0] is not tables:
+        _ready[:] = [tables, Encoder(tables.value)]
     return _ready[1]
 
 
@@ -344,7 +337,7 @@ def encode(docs: DataFrame, model: Model, text: str = "text", column: str = "pie
     tables = docs.sparkSession.sparkContext.broadcast(model)
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _of(tables, Encoder)
+        encoder = _of(tables)
         texts = batch.column(place).cast(pa.string()).to_pylist()
         parts = [p for a, b in _groups(texts, most) for p in encoder.encode(texts[a:b])]
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
@@ -361,12 +354,11 @@ def decode(rows: DataFrame, model: Model, ids: str = "piece_ids", column: str =
     bytes that are no UTF-8 as U+FFFD. A literal U+2581 in a text comes back as a space: the model writes both alike.
     """
     name = free_name(rows, column)
-    place = rows.columns.index(ids)
-    tables = rows.sparkSession.sparkContext.broadcast(model)
-
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        decoder = _of(tables, Decoder)
-        texts = [decoder.decode(v.as_py() or []) for v in batch.column(place)]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
-
-    return map_batches(rows, fn, f"{rows._jdf.schema().toDDL()}, `{name}` string"), name
+    # Bytes as hex digits, since pieces of the byte kind are no text by themselves; one constant, folded once.
+    parts = F.split(F.lit(",".join(p.hex() for p in piece_bytes(model))), ",")
+    unknown = F.lit(piece_bytes(model)[model.unknown].hex())
+    read = F.transform(F.coalesce(F.col(ids), F.array().cast("array<int>")), lambda i: F.coalesce(F.get(parts, i), unknown))
+    text = F.make_valid_utf8(F.unhex(F.array_join(read, "")).cast("string"))
+    if model.prefix:
+        text = F.when(text.startswith(" "), F.substr(text, F.lit(2))).otherwise(text)
+    return rows.withColumn(name, text), name
