@@ -183,7 +183,8 @@ def repeated_lines(
         F.min(F.struct("doc", "line_no")).alias("first"), F.first("line").alias("line")
     )
     near = near_lines(distinct, edits, least).where("earlier").select(*IDS).distinct().withColumn("near", F.lit(True))
-    slim = lines.drop("line")
+    # Read twice below: written, so that texts are not cut and hashed again for each.
+    slim = materialise(lines.drop("line"), "line-places")
     firsts = slim.groupBy(*IDS).agg(F.min(F.struct("doc", "line_no")).alias("first"), F.count("*").alias("n"))
     marked = firsts.join(near, IDS, "left").where("n > 1 OR near")
     here = F.struct("doc", "line_no")
