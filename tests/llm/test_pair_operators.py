@@ -338,11 +338,10 @@ def test_pipeline_stages_on_hard_rows(spark):
         assert out.columns[: len(docs.columns)] == docs.columns, name
         assert stage(spark, docs.where("1 = 0"), sf_dir).count() == 0, name
         kept = sorted(((r.doc_id or 0), r.text) for r in out.where("text is not null").collect())
-        if name == "simhash_near_duplicates":
-            texts = [(k, t) for k, t in rows if k is not None]
-            prints = {k: brute_fingerprint(t) for k, t in texts}
-            edges = [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
-            assert {k for k, _ in kept} | {1} == set(grouped(prints, edges).values())
+        if name == "near_duplicates":
+            sets = {k: brute_set(t) for k, t in rows if k is not None}
+            edges = [(a, b) for a, b in itertools.combinations(sets, 2) if brute_jaccard(sets[a], sets[b]) >= 0.8]
+            assert {k for k, _ in kept} | {1} == set(grouped(sets, edges).values())
         if name == "decontamination":
             assert len(kept) == len([t for _, t in rows if t is not None])
 
@@ -354,8 +353,8 @@ def test_pipeline_keeps_what_its_operators_keep(spark):
     good = {r.doc_id for r in QUERIES["op10_quality_rules"](spark, sf_dir).where("kept").collect()}
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     assert len(keys) == len(set(keys)) > 0 and set(keys) <= good
-    prints = [brute_fingerprint(r.text) for r in out]
-    assert all((a ^ b).bit_count() > 4 for a, b in itertools.combinations(prints, 2))
+    sets = [brute_set(r.text) for r in out]
+    assert all(brute_jaccard(a, b) < 0.8 for a, b in itertools.combinations(sets, 2))
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     for r in out:
         assert brute_hits(r.text, items)[1] == 0 and r.n_chars == len(r.text)
