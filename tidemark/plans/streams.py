@@ -16,8 +16,9 @@ from tidemark.streaming import jobs
 
 
 def stream(spark, sf_dir, name):
-    schema = table(spark, sf_dir, name).schema
-    return jobs.read_files(spark, sf_dir, schema, f"{name}.parquet")
+    """A test table, one file or a folder of part files, as a stream."""
+    # The braces make the path a pattern, which Spark follows to files and into folders alike.
+    return jobs.read_files(spark, f"{sf_dir.rstrip('/')}/{{{name}}}.parquet", table(spark, sf_dir, name).schema)
 
 
 def documents_in_time(df):
