@@ -28,28 +28,55 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
     return spread(df.select(text)).select(F.explode(tokens(F.col(text))).alias("token")).distinct()
 
 
+def frequent(counts: DataFrame, limit: int = BROADCAST_TOKENS, n: str = "n") -> DataFrame:
+    """The rows of ``counts`` whose ``n`` is at least a power of two, the smallest that leaves ``limit`` rows or fewer.
+
+    ``counts`` should be a written table. No row of the rest then occurs very often, so the rest can be shuffled.
+    """
+    sizes = counts.groupBy(F.floor(F.log2(n)).cast("int").alias("power")).count().collect()
+    power, held = max((r["power"] for r in sizes), default=0) + 1, 0
+    for r in sorted(sizes, key=lambda r: -r["power"]):
+        held += r["count"]
+        if held > limit:
+            break
+        power = r["power"]
+    return counts.where(F.col(n) >= F.lit(2**power))
+
+
 def oov_rates(
     df: DataFrame, vocab: DataFrame, key: str, text: str, *keep: str, broadcast_limit: int = BROADCAST_TOKENS
 ) -> DataFrame:
     """Share of each text's tokens, with multiplicity, that the vocabulary lacks; 0 without tokens.
 
     ``vocab`` should be a written table (see ``materialise``), since its size is checked first. A
-    small one is broadcast and the tokens are never shuffled, only the per-text sums are. A larger
-    one meets token counts that were folded per text before the shuffle on the token.
+    small one is broadcast and the tokens are never shuffled, only the per-text sums are. Of a larger
+    one the tokens that the texts hold most often are broadcast, up to the limit, so that only the
+    rare tokens of the texts are shuffled; every token is looked up.
     """
     known = vocab.select("token", F.lit(True).alias("known"))
     words = spread(df.select(key, *keep, text)).select(key, *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
+    has_token = F.col("token").isNotNull()
+    found = F.count_if("known")
     if vocab.count() <= broadcast_limit:
-        joined = words.withColumn("cnt", F.lit(1)).join(F.broadcast(known), "token", "left")
+        sums = words.join(F.broadcast(known), "token", "left").groupBy(key, *keep).agg(
+            found.alias("_known"), F.count_if(has_token).alias("n_tokens")
+        )
     else:
-        counts = words.groupBy(key, *keep, "token").agg(F.count("*").alias("cnt"))
-        joined = counts.join(known, "token", "left")
-    has_token = F.col("token").isNotNull()
-    unseen = F.sum(F.when(has_token & F.col("known").isNull(), F.col("cnt")).otherwise(0))
-    total = F.sum(F.when(has_token, F.col("cnt")).otherwise(0))
+        counts = words.where(has_token).groupBy("token").agg(F.count("*").alias("n"))
+        counts = materialise(counts.join(known, "token", "left"), "token_counts")
+        often = frequent(counts, broadcast_limit)
+        marked = words.join(F.broadcast(often.select("token", "known", F.lit(True).alias("_often"))), "token", "left")
+        # Rare tokens that the vocabulary lacks count as tokens already; the known ones are looked up.
+        rare = marked.where(has_token & F.col("_often").isNull()).select(key, *keep, "token").join(
+            counts.where("known").join(often.select("token"), "token", "left_anti").select("token"), "token"
+        )
+        sides = marked.groupBy(key, *keep).agg(found.alias("_known"), F.count_if(has_token).alias("_n")).unionByName(
+            rare.groupBy(key, *keep).agg(F.count("*").alias("_known")).withColumn("_n", F.lit(0))
+        )
+        sums = sides.groupBy(key, *keep).agg(F.sum("_known").alias("_known"), F.sum("_n").alias("n_tokens"))
     return (
-        joined.groupBy(key, *keep)
-        .agg(unseen.alias("oov_tokens"), total.alias("n_tokens"))
+        sums.withColumn("oov_tokens", F.col("n_tokens") - F.col("_known"))
+        .select(key, *keep, "oov_tokens", "n_tokens")
         .withColumn(
             "oov_rate",
             F.when(F.col("n_tokens") > 0, F.col("oov_tokens") / F.col("n_tokens")).otherwise(F.lit(0.0)),
@@ -68,13 +95,24 @@ def document_frequency(df: DataFrame, text: str) -> DataFrame:
     return counts.withColumn("idf", F.ln((F.col("_n") + 1) / (F.col("df") + 1)) + 1).drop("_n")
 
 
-def weighted_tokens(df: DataFrame, key: str, text: str, frequency: DataFrame) -> DataFrame:
+def weighted_tokens(
+    df: DataFrame, key: str, text: str, frequency: DataFrame, broadcast_limit: int = BROADCAST_TOKENS
+) -> DataFrame:
     """``key, token, cnt, df, idf, weight``: tf * idf scaled to unit length per text, over the tokens in ``frequency``.
 
-    ``frequency`` should be a written table, so that its measured size decides how it is joined: where it is
-    broadcast the texts are shuffled once, by key, and counts, weights and the norm keep that partitioning.
+    ``frequency`` should be a written table, since its size is checked first. A small one is broadcast: the texts are
+    shuffled once, by key, and counts, weights and the norm keep that partitioning. Of a larger one the tokens of most
+    texts are broadcast, up to the limit, and only the rows of rare tokens go to their token and back to their text.
     """
-    weighted = token_counts(df, key, text).join(frequency, "token").withColumn("raw", F.col("cnt") * F.col("idf"))
+    counts = token_counts(df, key, text)
+    if frequency.count() <= broadcast_limit:
+        held = counts.join(F.broadcast(frequency), "token")
+    else:
+        often = frequent(frequency, broadcast_limit, "df")
+        names = often.select("token")
+        rare = counts.join(F.broadcast(names), "token", "left_anti").join(frequency.join(names, "token", "left_anti"), "token")
+        held = counts.join(F.broadcast(often), "token").unionByName(rare.repartition(key))
+    weighted = held.withColumn("raw", F.col("cnt") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return weighted.withColumn("weight", F.col("raw") / norm).drop("raw")
 
