@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 CARRIED = (
     "version string, approved_by string, seq bigint, micros bigint, metric_label string, score double, margin double, floor double"
 )
+#: Waiting requests are kept by slices of this many milliseconds: one value and one timer for each.
+SLICE = 600_000
 NAMES = [c.strip().split(" ")[0] for c in CARRIED.split(",")]
 OUTPUT = (
     f"model string, {CARRIED}, incumbent_version string, incumbent_score double, "
@@ -20,17 +22,18 @@ OUTPUT = (
 
 
 class PromotionProcessor(StatefulProcessor):
-    """State of one model: its incumbent, and the waiting requests by millisecond with a timer for each.
+    """State of one model: its incumbent, and the waiting requests by slice of time with a timer at the first of each.
 
     Requests that are refused whatever the incumbent pass at once. Waiting ones are decided when the watermark reaches
-    their millisecond; timers fire in order, so each bucket meets the incumbent that all earlier ones left. Buckets are
-    removed as they are settled, so the state holds what came within the delay, and one row for the incumbent.
+    their millisecond; timers fire in order, so each slice meets the incumbent that all earlier ones left, and what the
+    watermark has not reached of a slice waits for a new timer. Slices are removed as they are settled, so the state
+    holds what came within the delay, and one row for the incumbent. The calls to the state grow with slices, not rows.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.incumbent = handle.getValueState("incumbent", "version string, score double")
-        self.waiting = handle.getMapState("waiting", "ms bigint", f"requests array<struct<{CARRIED.replace(' ', ': ').replace(',:', ',')}>>")
+        self.waiting = handle.getMapState("waiting", "slice bigint", f"requests array<struct<{CARRIED.replace(' ', ': ').replace(',:', ',')}>>")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.incumbent.update((initialState.incumbent_version, initialState.incumbent_score))
@@ -51,27 +54,40 @@ class PromotionProcessor(StatefulProcessor):
             elif row["_static"] is not None:
                 yield self._row(key, carried, static=row["_static"])
             else:
-                new.setdefault(ms, []).append(carried)
-        for ms, requests in new.items():
-            if self.waiting.containsKey((ms,)):
-                requests = [tuple(r) for r in self.waiting.getValue((ms,))[0]] + requests
+                new.setdefault(ms // SLICE, []).append(carried)
+        for part, requests in new.items():
+            first = min(map(_ms, requests))
+            if self.waiting.containsKey((part,)):
+                before = [tuple(r) for r in self.waiting.getValue((part,))[0]]
+                known = min(map(_ms, before))
+                if first < known:
+                    self.handle.deleteTimer(known)
+                    self.handle.registerTimer(first)
+                requests = before + requests
             else:
-                self.handle.registerTimer(ms)
-            self.waiting.updateValue((ms,), (requests,))
+                self.handle.registerTimer(first)
+            self.waiting.updateValue((part,), (requests,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        requests = sorted((tuple(r) for r in self.waiting.getValue((ms,))[0]), key=_order)
-        self.waiting.removeKey((ms,))
-        incumbent = tuple(self.incumbent.get()) if self.incumbent.exists() else (None, None)
-        for carried in requests:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        mark, part = max(at, timerValues.getCurrentWatermarkInMs()), at // SLICE
+        requests = sorted((tuple(r) for r in self.waiting.getValue((part,))[0]), key=_order)
+        due = [r for r in requests if _ms(r) <= mark]
+        if len(due) < len(requests):
+            self.waiting.updateValue((part,), (requests[len(due):],))
+            self.handle.registerTimer(_ms(requests[len(due)]))
+        else:
+            self.waiting.removeKey((part,))
+        start = incumbent = tuple(self.incumbent.get()) if self.incumbent.exists() else (None, None)
+        for carried in due:
             yield self._row(key, carried, incumbent)
             version, score, margin, floor = (carried[NAMES.index(c)] for c in ("version", "score", "margin", "floor"))
             # NaN is above every number here, as it is in the batch gate.
             bar = floor if incumbent[1] is None else incumbent[1] + margin
             if score != score or score >= bar:
                 incumbent = (version, score)
-                self.incumbent.update(incumbent)
+        if incumbent is not start:
+            self.incumbent.update(incumbent)
 
     def close(self) -> None:
         pass
@@ -80,6 +96,10 @@ class PromotionProcessor(StatefulProcessor):
 OUTPUT_NAMES = ["model", *NAMES, "incumbent_version", "incumbent_score", "_static", "late"]
 
 
+def _ms(carried: tuple) -> int:
+    return carried[NAMES.index("micros")] // 1000
+
+
 def _order(carried: tuple) -> tuple:
     """Micros, then seq, version and approver; nulls first, as Spark sorts them."""
     values = [carried[NAMES.index(c)] for c in ("micros", "seq", "version", "approved_by")]
