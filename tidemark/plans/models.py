@@ -42,9 +42,9 @@ def c_sweep(spark, sf_dir):
     rows = split_features(spark, sf_dir)
     train, val, test = [rows.where(F.col("split") == s) for s in SPLITS]
     runs = models.c_sweep(train, val, "lang", LANGS, [0.01, 0.1, 1.0, 10.0])
-    best = max(runs, key=lambda r: (r["val_f1"], -r["c"]))["c"]
-    model = models.fit_classifier(train, "lang", LANGS, best)
-    test_f1 = models.evaluate(model, test, "lang", LANGS).first()["macro_f1"]
+    chosen = max(runs, key=lambda r: (r["val_f1"], -r["c"]))
+    best = chosen["c"]
+    test_f1 = models.evaluate(chosen["model"], test, "lang", LANGS).first()["macro_f1"]
     table_rows = [(r["c"], r["val_f1"], r["c"] == best, test_f1 if r["c"] == best else None) for r in runs]
     return spark.createDataFrame(table_rows, "c double, val_f1 double, is_best boolean, test_f1 double")
 
