@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,14 +26,18 @@ def lcs_length(a, b) -> int:
     return len(b) - bin(row).count("1")
 
 
-@F.pandas_udf(T.IntegerType())
-def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int32")
+@F.arrow_udf(T.IntegerType())
+def common_length(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Pairs leave Arrow one at a time, so that a worker holds the words of one pair as Python strings."""
+    return pa.array((lcs_length(x.as_py(), y.as_py()) for x, y in zip(a, b)), pa.int32())
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stemmed(words: pd.Series) -> pd.Series:
-    return words.map(lambda ws: [stem(w) if len(w) >= MIN_STEMMED else w for w in ws])
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stemmed(words: pa.Array) -> pa.Array:
+    """Each different word of a batch is stemmed once; the lists stay Arrow arrays."""
+    coded = words.values.dictionary_encode()
+    stems = pa.array([stem(w) if len(w) >= MIN_STEMMED else w for w in coded.dictionary.to_pylist()], pa.string())
+    return pa.ListArray.from_arrays(words.offsets, stems.take(coded.indices), mask=words.is_null() if words.null_count else None)
 
 
 def f_measure(overlap: Column, n_candidate: Column, n_reference: Column) -> Column:
