@@ -1,6 +1,6 @@
-"""A corpus pipeline: five stages over ``documents``: quality rules, line de-duplication, near-duplicates,
-decontamination and pieces, by the operators of ``tidemark.llm``. The near-duplicate stage links by the Jaccard
-similarity of shingle sets (``shingle_sets``), not by fingerprints; the README says why.
+"""A corpus pipeline: six stages over ``documents``: quality rules, line de-duplication, near-duplicates by fingerprints
+(``simhash``) and by the Jaccard similarity of shingle sets (``shingle_sets``), decontamination and pieces, by the
+operators of ``tidemark.llm``. The README says why near-duplicates take two stages.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept. All but the last return the
 columns of ``docs``. ``run`` writes each stage's rows as Parquet in the shared folder and reads them for the next one.
@@ -8,10 +8,12 @@ columns of ``docs``. ``run`` writes each stage's rows as Parquet in the shared f
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, pieces, quality, shingle_sets
+from tidemark.llm import decontaminate, line_dedup, pieces, quality, shingle_sets, simhash
 from tidemark.llm.queries import MODEL
 from tidemark.plans.registry import table
 from tidemark.session import materialise
@@ -36,6 +38,14 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _recount(line_dedup.drop_repeated_lines(docs))
 
 
+def fingerprints(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group that op5 makes: fingerprints of four-word shingles within four bits.
+
+    Which document stays and what a row is are as in ``near_duplicates``.
+    """
+    return _first_of_each_group(docs, simhash.near_duplicates)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates, that of the smallest doc_id.
 
@@ -44,9 +54,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A document without doc_id comes after all others. A row is known by its doc_id and its text, so rows of one doc_id
     with different texts are different documents; rows equal in both leave one.
     """
+    return _first_of_each_group(docs, shingle_sets.near_duplicates)
+
+
+def _first_of_each_group(docs: DataFrame, linked: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     known = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     named = docs.withColumn("_known", known)
-    groups = shingle_sets.near_duplicates(named.select("_known", "text"), "_known")
+    groups = linked(named.select("_known", "text"), "_known")
     same = lambda c: [F.col(f"{c}.none").alias("_none"), F.coalesce(f"{c}.id", F.lit(0)).alias("_id"), F.col(f"{c}.text").alias("_text")]
     kept = groups.where("_known <=> component_id").select(*same("_known")).distinct()
     parts = ["_none", "_id", "_text"]
@@ -73,6 +87,7 @@ def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str, model_path: str
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", repeated_lines),
+    ("fingerprints", fingerprints),
     ("near_duplicates", near_duplicates),
     ("decontamination", benchmark_free),
     ("sentencepiece", piece_ids),
