@@ -102,25 +102,30 @@ def split_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _segment_start(length: Column, i: int, edits: int) -> Column:
-    return F.floor(length * i / (edits + 1)).cast("int")
-
-
-def segment_keys(line: Column, n: Column, edits: int) -> Column:
-    """Array of (key, index): the substrings a line of ``n`` code points probes with; its own segments are also the index."""
-    out = []
-    for gap in range(edits + 1):
-        other = n - gap
-        for i in range(edits + 1):
-            start, end = _segment_start(other, i, edits), _segment_start(other, i + 1, edits)
-            shifts = range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1)
-            for shift in shifts:
-                at = start + shift
-                part = F.substring(line, at + 1, end - start)
-                inside = (at >= 0) & (at + (end - start) <= n) & (end > start)
-                value = F.when(inside, F.xxhash64(other, F.lit(i), part))
-                out.append(F.struct(value.alias("key"), F.lit(gap == 0 and shift == 0).alias("index")))
-    return F.array(*out)
+def segment_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``key, tag`` of the substrings each line probes with; its own segments are also the index.
+
+    ``lines`` has ``id, line, n``, ``n`` the code points of the line. The low bit of the tag says that the key is an index
+    entry, the others are the id. One row is made for each kind of substring and cut by one short expression: all kinds in
+    one array make generated code too long to be compiled.
+    """
+    kinds = [
+        F.struct(F.lit(gap).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for gap in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1)
+    ]
+    other, i = F.col("n") - F.col("k.gap"), F.col("k.i")
+    cut = lines.select("id", "line", "n", F.explode(F.array(*kinds)).alias("k")).select(
+        "id", "line", "n", other.alias("other"), i.alias("i"),
+        F.floor(other * i / (edits + 1)).cast("int").alias("start"), F.col("k.shift").alias("shift"),
+        F.floor(other * (i + 1) / (edits + 1)).cast("int").alias("end"),
+        ((F.col("k.gap") == 0) & (F.col("k.shift") == 0)).cast("bigint").alias("index"),
+    )
+    at, size = F.col("start") + F.col("shift"), F.col("end") - F.col("start")
+    inside = (at >= 0) & (at + size <= F.col("n")) & (size > 0)
+    part = F.substring("line", at + 1, size)
+    return cut.where(inside).select(F.xxhash64("other", "i", part).alias("key"), (F.col("id") * 2 + F.col("index")).alias("tag"))
 
 
 def near_lines(distinct: DataFrame, edits: int, least: int) -> DataFrame:
@@ -133,12 +138,7 @@ def near_lines(distinct: DataFrame, edits: int, least: int) -> DataFrame:
         distinct.withColumn("n", F.length("line")).where(F.col("n") >= least).withColumn("id", F.monotonically_increasing_id()),
         "line-distinct",
     )
-    # The low bit of the tag says that the key is an index entry.
-    tag = F.col("id") * 2 + F.col("k.index").cast("bigint")
-    # Lengths are read, not counted again for each key, and the array is a projection, where common parts are shared.
-    listed = own.select("id", segment_keys(F.col("line"), F.col("n"), edits).alias("ks"))
-    keyed = listed.select("id", F.explode("ks").alias("k")).select("k.key", tag.alias("tag"))
-    dealt = keyed.where("key IS NOT NULL").repartition("key")
+    dealt = segment_keys(own, edits).repartition("key")
     # This and the join below read the same columns, so they share one shuffle. An inner join on keys that are unique:
     # a semi join would be pushed below the shuffle.
     met = dealt.groupBy("key").agg(F.min("tag").alias("low"), F.max("tag").alias("high"), F.max(F.col("tag") % 2).alias("indexed")).where(

@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark's setting by which shuffle files are removed at the end of a query, not when the driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on; extra keywords are Spark settings."""
@@ -48,11 +51,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once and read it back.
 
     Cuts lineage, survives the loss of executors, and gives Catalyst the real size of the table, so
-    that a later join is broadcast or shuffled by its measured size.
+    that a later join is broadcast or shuffled by its measured size. Its shuffle files go as soon as it is written.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = new_path(spark, name), spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
