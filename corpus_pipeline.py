@@ -1,6 +1,6 @@
-"""A corpus pipeline: six stages over ``documents``: quality rules, line de-duplication, near-duplicates by fingerprints
-(``simhash``) and by the Jaccard similarity of shingle sets (``shingle_sets``), decontamination and pieces, by the
-operators of ``tidemark.llm``. The README says why near-duplicates take two stages.
+"""A corpus pipeline: five stages over ``documents``: quality rules, line de-duplication, near-duplicates by fingerprints
+(``simhash``) and then by the Jaccard similarity of shingle sets (``shingle_sets``), decontamination and pieces, by the
+operators of ``tidemark.llm``. The README says why near-duplicates take two steps.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept. All but the last return the
 columns of ``docs``. ``run`` writes each stage's rows as Parquet in the shared folder and reads them for the next one.
@@ -57,6 +57,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _first_of_each_group(docs, shingle_sets.near_duplicates)
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``fingerprints``, then ``near_duplicates`` over all that it keeps."""
+    return near_duplicates(spark, materialise(fingerprints(spark, docs, sf_dir), "one-of-fingerprints"), sf_dir)
+
+
 def _first_of_each_group(docs: DataFrame, linked: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     known = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     named = docs.withColumn("_known", known)
@@ -87,8 +92,7 @@ def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str, model_path: str
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", repeated_lines),
-    ("fingerprints", fingerprints),
-    ("near_duplicates", near_duplicates),
+    ("fingerprints", one_of_near_copies),
     ("decontamination", benchmark_free),
     ("sentencepiece", piece_ids),
 ]
