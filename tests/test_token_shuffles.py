@@ -53,3 +53,14 @@ def test_only_rare_tokens_are_shuffled_for_rates(spark, texts):
     vocab = spark.createDataFrame([(f"w{i}",) for i in range(1, 400)], "token string")
     plan = tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=20)._jdf.queryExecution().toString()
     assert "rightHint=(strategy=broadcast)" in plan or "BroadcastHashJoin" in plan
+
+
+def test_a_vocabulary_beyond_the_limit_moves_no_text_tokens_if_the_part_the_texts_hold_is_within_it(spark, texts, rows):
+    """The rows of the texts go to no token: they meet a broadcast table, and only their sums are shuffled."""
+    held = [f"w{i}" for i in range(1, 400)]
+    vocab = spark.createDataFrame([(t,) for t in [*held, *(f"x{i}" for i in range(2000))]], "token string")
+    got = tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=1000)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan
+    assert rows(got) == rows(tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=10_000))
+    assert rows(got) == rows(tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=0))

@@ -50,20 +50,25 @@ def oov_rates(
 
     ``vocab`` should be a written table (see ``materialise``), since its size is checked first. A
     small one is broadcast and the tokens are never shuffled, only the per-text sums are. Of a larger
-    one the tokens that the texts hold most often are broadcast, up to the limit, so that only the
-    rare tokens of the texts are shuffled; every token is looked up.
+    one the tokens that the texts hold at all are broadcast, if these are within the limit. If they
+    are not, the tokens that the texts hold most often are, so that only the rare tokens of the texts
+    are shuffled; every token is looked up.
     """
     known = vocab.select("token", F.lit(True).alias("known"))
     words = spread(df.select(key, *keep, text)).select(key, *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
     has_token = F.col("token").isNotNull()
     found = F.count_if("known")
-    if vocab.count() <= broadcast_limit:
+    small = vocab.count() <= broadcast_limit
+    if not small:
+        counts = words.where(has_token).groupBy("token").agg(F.count("*").alias("n"))
+        counts = materialise(counts.join(known, "token", "left"), "token_counts")
+        known = counts.where("known").select("token", "known")
+        small = known.count() <= broadcast_limit
+    if small:
         sums = words.join(F.broadcast(known), "token", "left").groupBy(key, *keep).agg(
             found.alias("_known"), F.count_if(has_token).alias("n_tokens")
         )
     else:
-        counts = words.where(has_token).groupBy("token").agg(F.count("*").alias("n"))
-        counts = materialise(counts.join(known, "token", "left"), "token_counts")
         often = frequent(counts, broadcast_limit)
         marked = words.join(F.broadcast(often.select("token", "known", F.lit(True).alias("_often"))), "token", "left")
         # Rare tokens that the vocabulary lacks count as tokens already; the known ones are looked up.
