@@ -1,9 +1,12 @@
 """Quoted CSV and file digests, read range by range."""
 
+import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators.fingerprint import table_fingerprint
 from tidemark.sources import quoted, readers
 
 
@@ -94,3 +97,22 @@ def test_digests_do_not_depend_on_ranges_and_see_every_byte(spark, tmp_path, ran
     changed = {digest(bytes(body[:i]) + bytes([body[i] ^ 1]) + bytes(body[i + 1:])) for i in (0, 5001, len(body) - 1)}
     changed |= {digest(bytes(body[:-1])), digest(bytes(body) + b"\n")}
     assert len(changed) == 5 and first not in changed
+
+
+def test_lines_are_numbered_without_sorting_them(spark, tmp_path, ranges):
+    """The only window is that over the ranges; the numbers are those of the lines of the whole file."""
+    rng = random.Random(5)
+    contents = {n: rng.randbytes(6000) + b"\n" * 40 + b"y" * 1500 + rng.randbytes(900) for n in ("a", "b")}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    ranges(512)
+    found = quoted.file_digests(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "rightHint=(strategy=broadcast)" in plan
+    got = {r["path"][-1]: (r["n_lines"], r["digest"]) for r in found.collect()}
+    for name, content in contents.items():
+        parts = content.split(b"\n")
+        numbered = [(i, hashlib.sha256(v).hexdigest()) for i, v in enumerate(parts[: len(parts) - (parts[-1] == b"")], 1)]
+        whole = table_fingerprint(spark.createDataFrame(numbered, "number long, line string"), ["number", "line"])
+        want = whole.select("n_rows", F.sha2(F.concat_ws(":", "digest", F.lit(len(content))), 256)).first()
+        assert got[name] == tuple(want)

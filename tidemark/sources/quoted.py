@@ -7,7 +7,7 @@ then within each, so a file of any size is read by as many tasks as it has range
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.blocked import running
@@ -79,10 +79,17 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """``path, length, n_lines, digest`` for every file below ``path`` that is not empty (Spark lists no others).
 
     The digest is that of the file's numbered lines, by a tree of bounded fan-in, and its length: together they determine
-    every byte. It does not depend on how the file was cut into ranges. A task holds one line at a time.
+    every byte. It does not depend on how the file was cut into ranges. A task holds one line at a time: the lines of a
+    range are neighbours in ``at``, so a line's number follows from the first line of its range and the lines before the
+    range, and no lines are sorted. The table of ranges is one that the driver lists anyway; it is broadcast.
     """
     hashed = lines(spark, path).withColumn("line", F.sha2(F.col("value").cast("binary"), 256)).drop("value")
-    numbered = running(hashed, ["file"], ["at"], "block", sums={"number": F.lit(1)})
+    hashed = materialise(hashed, "line_digests")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1
+    ranges = hashed.groupBy("file", "block").agg(F.min("at").alias("_first"), F.count("*").alias("_n"))
+    ranges = ranges.select("file", "block", shift.alias("_shift"))
+    numbered = hashed.join(F.broadcast(ranges), ["file", "block"]).withColumn("number", F.col("at") + F.col("_shift"))
     named = numbered.select(F.struct("file", "length").alias("_file"), "number", "line")
     whole = table_fingerprint(named, ["number", "line"], "_file")
     return whole.select(
