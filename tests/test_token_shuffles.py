@@ -64,3 +64,23 @@ def test_a_vocabulary_beyond_the_limit_moves_no_text_tokens_if_the_part_the_text
     assert plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan
     assert rows(got) == rows(tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=10_000))
     assert rows(got) == rows(tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=0))
+
+
+def test_slots_settle_most_tokens_and_the_others_are_looked_up(spark, rows):
+    """Known and unknown tokens beyond the limit: no row of the texts goes to its token, whichever are unsure."""
+    texts = spark.range(300).selectExpr(
+        "id as k", "concat_ws(' ', transform(sequence(0, 39), i -> concat('w', cast((id * 17 + i * i) % 3000 as string)))) as text"
+    )
+    vocab = spark.range(0, 3000, 2).selectExpr("concat('w', id) as token")
+    got = tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=1000)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == plan.count("rightHint=(strategy=broadcast)") == 2
+    want = [(k, sum((k * 17 + i * i) % 3000 % 2 for i in range(40)), 40) for k in range(300)]
+    assert [r[:3] for r in rows(got)] == sorted(want, key=repr)
+    # Fewer slots than tokens leave unsure ones beyond the limit, which are shuffled.
+    assert rows(tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=40)) == rows(got)
+    counts = vocab.selectExpr("token", "true as known").unionByName(spark.range(5000).selectExpr("concat('x', id) as token", "cast(null as boolean) as known"))
+    slots, n_words = tokens.known_slots(counts, 1_000_000)
+    told = counts.withColumn("_word", tokens._word(n_words)).join(slots, "_word")
+    assert told.where(f"(_yes & {tokens.SLOT} != 0) != coalesce(known, false) and _yes & _no & {tokens.SLOT} = 0").count() == 0
+    assert 0 < told.where(f"_yes & _no & {tokens.SLOT} != 0").count() < 2000

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
@@ -43,6 +45,26 @@ def frequent(counts: DataFrame, limit: int = BROADCAST_TOKENS, n: str = "n") ->
     return counts.where(F.col(n) >= F.lit(2**power))
 
 
+def _word(words: int) -> Column:
+    """Where a token's bit is: its word of 64 slots, among ``words`` (a power of two); null without a token."""
+    return F.when(F.col("token").isNotNull(), F.expr(f"xxhash64(token) & {words - 1}L"))
+
+
+# The bit of a token within its word. It comes from other bits of the hash than the word.
+SLOT = "shiftleft(1L, cast(shiftrightunsigned(xxhash64(token), 58) as int))"
+
+
+def known_slots(counts: DataFrame, limit: int = BROADCAST_TOKENS) -> tuple[DataFrame, int]:
+    """``_word, _yes, _no``: bits of the slots that known and that unknown tokens of ``counts`` hash to; and how many words.
+
+    There are about eight slots to a token while ``limit`` words hold them. A token of ``counts`` in a slot of one kind is
+    of that kind; only where both bits are set does the token itself have to be looked up.
+    """
+    words = 2 ** int(math.log2(max(min(limit, counts.count() // 8), 1)))
+    bits = [F.bit_or(F.when(kind, F.expr(SLOT)).otherwise(F.lit(0).cast("bigint"))) for kind in (F.col("known"), F.col("known").isNull())]
+    return counts.groupBy(_word(words).alias("_word")).agg(bits[0].alias("_yes"), bits[1].alias("_no")), words
+
+
 def oov_rates(
     df: DataFrame, vocab: DataFrame, key: str, text: str, *keep: str, broadcast_limit: int = BROADCAST_TOKENS
 ) -> DataFrame:
@@ -51,8 +73,9 @@ def oov_rates(
     ``vocab`` should be a written table (see ``materialise``), since its size is checked first. A
     small one is broadcast and the tokens are never shuffled, only the per-text sums are. Of a larger
     one the tokens that the texts hold at all are broadcast, if these are within the limit. If they
-    are not, the tokens that the texts hold most often are, so that only the rare tokens of the texts
-    are shuffled; every token is looked up.
+    are not, hashed slots of all tokens are (``known_slots``). They settle every token but those whose
+    slot also has one of the other kind; of these the most frequent are broadcast, and the rare ones,
+    if any are left, are shuffled. Every token is told by its slot or looked up, never guessed.
     """
     known = vocab.select("token", F.lit(True).alias("known"))
     words = spread(df.select(key, *keep, text)).select(key, *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
@@ -69,16 +92,29 @@ def oov_rates(
             found.alias("_known"), F.count_if(has_token).alias("n_tokens")
         )
     else:
-        often = frequent(counts, broadcast_limit)
-        marked = words.join(F.broadcast(often.select("token", "known", F.lit(True).alias("_often"))), "token", "left")
-        # Rare tokens that the vocabulary lacks count as tokens already; the known ones are looked up.
-        rare = marked.where(has_token & F.col("_often").isNull()).select(key, *keep, "token").join(
-            counts.where("known").join(often.select("token"), "token", "left_anti").select("token"), "token"
+        slots, n_words = known_slots(counts, broadcast_limit)
+        slots = materialise(slots, "known_slots")
+        held = counts.withColumn("_word", _word(n_words)).join(F.broadcast(slots), "_word")
+        unsure = materialise(held.where(f"_yes & _no & {SLOT} != 0").select("token", "n", "known"), "unsure_tokens")
+        often = unsure if unsure.count() <= broadcast_limit else frequent(unsure, broadcast_limit)
+        told = words.withColumn("_word", _word(n_words)).join(F.broadcast(slots), "_word", "left").select(
+            key, *keep, "token", F.expr(f"_no & {SLOT} = 0").alias("_sure"),
+            F.expr(f"if(_yes & _no & {SLOT} != 0, token, null)").alias("_unsure"),
         )
-        sides = marked.groupBy(key, *keep).agg(found.alias("_known"), F.count_if(has_token).alias("_n")).unionByName(
-            rare.groupBy(key, *keep).agg(F.count("*").alias("_known")).withColumn("_n", F.lit(0))
+        looked = F.broadcast(often.select(F.col("token").alias("_unsure"), "known", F.lit(True).alias("_often")))
+        marked = told.join(looked, "_unsure", "left")
+        sums = marked.groupBy(key, *keep).agg(
+            F.count_if(F.col("_sure") | F.col("known")).alias("_known"), F.count_if(has_token).alias("n_tokens")
         )
-        sums = sides.groupBy(key, *keep).agg(F.sum("_known").alias("_known"), F.sum("_n").alias("n_tokens"))
+        if often is not unsure:
+            # Rare tokens that the vocabulary lacks count as tokens already; the known ones are looked up.
+            rare = marked.where(F.col("_unsure").isNotNull() & F.col("_often").isNull()).select(key, *keep, "token").join(
+                unsure.where("known").join(often.select("token"), "token", "left_anti").select("token"), "token"
+            )
+            sides = sums.unionByName(
+                rare.groupBy(key, *keep).agg(F.count("*").alias("_known")).withColumn("n_tokens", F.lit(0))
+            )
+            sums = sides.groupBy(key, *keep).agg(F.sum("_known").alias("_known"), F.sum("n_tokens").alias("n_tokens"))
     return (
         sums.withColumn("oov_tokens", F.col("n_tokens") - F.col("_known"))
         .select(key, *keep, "oov_tokens", "n_tokens")
