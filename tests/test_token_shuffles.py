@@ -84,3 +84,14 @@ def test_slots_settle_most_tokens_and_the_others_are_looked_up(spark, rows):
     told = counts.withColumn("_word", tokens._word(n_words)).join(slots, "_word")
     assert told.where(f"(_yes & {tokens.SLOT} != 0) != coalesce(known, false) and _yes & _no & {tokens.SLOT} = 0").count() == 0
     assert 0 < told.where(f"_yes & _no & {tokens.SLOT} != 0").count() < 2000
+
+
+def test_a_task_holds_the_tokens_of_so_many_bytes_of_text(texts, monkeypatch):
+    """Partitions follow the bytes of the texts, and a union of frequent and rare tokens keeps them without a further shuffle."""
+    monkeypatch.setattr(tokens, "TASK_TEXT", 500)
+    size = sum(len(r["text"] or "") for r in texts.collect())
+    frequency = tokens.document_frequency(texts, "text").persist()
+    for limit in LIMITS:
+        got = tokens.weighted_tokens(texts, "k", "text", frequency, limit)
+        assert got.rdd.getNumPartitions() == -(-size // 500) > 8
+        assert got.count() > 0

@@ -13,14 +13,24 @@ from tidemark.session import materialise, spread
 # A vocabulary up to this many tokens (some tens of MB) is broadcast; a larger one is shuffled.
 BROADCAST_TOKENS = 1_000_000
 
+# Bytes of text whose (text, token) rows one task holds at a time; they take some ten times as much memory.
+TASK_TEXT = 8_000_000
 
-def token_counts(df: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
+
+def text_tasks(df: DataFrame, text: str) -> int:
+    """How many tasks the texts are cut into tokens by: by their bytes, so that a task's memory does not grow with them."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_TEXT))
+
+
+def token_counts(df: DataFrame, key: str, text: str, *keep: str, tasks: int | None = None) -> DataFrame:
     """One row per (text, token) with its count; the text itself is not carried along.
 
     Texts are partitioned by their key before they are cut into tokens, so the counts, and anything
-    else per text, need no further shuffle.
+    else per text, need no further shuffle. There are ``tasks`` partitions, if given (see ``text_tasks``).
     """
-    texts = df.select(key, *keep, text).repartition(key)
+    texts = df.select(key, *keep, text)
+    texts = texts.repartition(tasks, key) if tasks else texts.repartition(key)
     words = texts.select(key, *keep, F.explode(tokens(F.col(text))).alias("token"))
     return words.groupBy(key, *keep, "token").agg(F.count("*").alias("cnt"))
 
@@ -145,14 +155,15 @@ def weighted_tokens(
     shuffled once, by key, and counts, weights and the norm keep that partitioning. Of a larger one the tokens of most
     texts are broadcast, up to the limit, and only the rows of rare tokens go to their token and back to their text.
     """
-    counts = token_counts(df, key, text)
+    tasks = text_tasks(df, text)
+    counts = token_counts(df, key, text, tasks=tasks)
     if frequency.count() <= broadcast_limit:
         held = counts.join(F.broadcast(frequency), "token")
     else:
         often = frequent(frequency, broadcast_limit, "df")
         names = often.select("token")
         rare = counts.join(F.broadcast(names), "token", "left_anti").join(frequency.join(names, "token", "left_anti"), "token")
-        held = counts.join(F.broadcast(often), "token").unionByName(rare.repartition(key))
+        held = counts.join(F.broadcast(often), "token").unionByName(rare.repartition(tasks, key))
     weighted = held.withColumn("raw", F.col("cnt") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return weighted.withColumn("weight", F.col("raw") / norm).drop("raw")
