@@ -95,3 +95,24 @@ def test_a_task_holds_the_tokens_of_so_many_bytes_of_text(texts, monkeypatch):
         got = tokens.weighted_tokens(texts, "k", "text", frequency, limit)
         assert got.rdd.getNumPartitions() == -(-size // 500) > 8
         assert got.count() > 0
+
+
+def test_tokens_without_a_known_one_in_their_slot_are_not_shuffled(spark, rows, monkeypatch):
+    """Of many unknown tokens only those that share a slot with the vocabulary are grouped at all."""
+    written = {}
+
+    def kept(df, name):
+        df = df.persist()
+        written[name] = df.count()
+        return df
+
+    monkeypatch.setattr(tokens, "materialise", kept)
+    texts = spark.range(200).selectExpr(
+        "id as k", "concat_ws(' ', concat('w', id * 3), concat_ws(' ', transform(sequence(1, 50), i -> concat('x', id * 50 + i)))) as text"
+    )
+    vocab = spark.range(3000).selectExpr("concat('w', id) as token")
+    want = [(k, 50, 51) for k in range(200)]
+    for limit in (2000, 1000, 150):
+        written.clear()
+        assert [r[:3] for r in rows(tokens.oov_rates(texts, vocab, "k", "text", broadcast_limit=limit))] == sorted(want, key=repr)
+        assert 200 <= written["token_counts"] < (200 + 10_000) / (2 if limit > 150 else 1)

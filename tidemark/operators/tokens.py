@@ -64,13 +64,15 @@ def _word(words: int) -> Column:
 SLOT = "shiftleft(1L, cast(shiftrightunsigned(xxhash64(token), 58) as int))"
 
 
-def known_slots(counts: DataFrame, limit: int = BROADCAST_TOKENS) -> tuple[DataFrame, int]:
+def known_slots(counts: DataFrame, limit: int = BROADCAST_TOKENS, words: int | None = None) -> tuple[DataFrame, int]:
     """``_word, _yes, _no``: bits of the slots that known and that unknown tokens of ``counts`` hash to; and how many words.
 
-    There are about eight slots to a token while ``limit`` words hold them. A token of ``counts`` in a slot of one kind is
-    of that kind; only where both bits are set does the token itself have to be looked up.
+    There are at least eight slots to a token while ``limit`` words hold them, unless ``words`` says how many words of 64
+    there are. A token of ``counts`` in a slot of one kind is of that kind; only where both bits are set does the token
+    itself have to be looked up.
     """
-    words = 2 ** int(math.log2(max(min(limit, counts.count() // 8), 1)))
+    if words is None:
+        words = 2 ** min(math.ceil(math.log2(max(counts.count() / 8, 1))), int(math.log2(max(limit, 1))))
     bits = [F.bit_or(F.when(kind, F.expr(SLOT)).otherwise(F.lit(0).cast("bigint"))) for kind in (F.col("known"), F.col("known").isNull())]
     return counts.groupBy(_word(words).alias("_word")).agg(bits[0].alias("_yes"), bits[1].alias("_no")), words
 
@@ -82,10 +84,11 @@ def oov_rates(
 
     ``vocab`` should be a written table (see ``materialise``), since its size is checked first. A
     small one is broadcast and the tokens are never shuffled, only the per-text sums are. Of a larger
-    one the tokens that the texts hold at all are broadcast, if these are within the limit. If they
-    are not, hashed slots of all tokens are (``known_slots``). They settle every token but those whose
-    slot also has one of the other kind; of these the most frequent are broadcast, and the rare ones,
-    if any are left, are shuffled. Every token is told by its slot or looked up, never guessed.
+    one hashed slots are broadcast (``known_slots``): a token whose slot has no known one is unknown and
+    goes nowhere. Among the others the tokens that the vocabulary has are broadcast, if these are within
+    the limit. If they are not, slots of both kinds are. They settle every token but those whose slot also
+    has one of the other kind; of these the most frequent are broadcast, and the rare ones, if any are
+    left, are shuffled. Every token is told by its slot or looked up, never guessed.
     """
     known = vocab.select("token", F.lit(True).alias("known"))
     words = spread(df.select(key, *keep, text)).select(key, *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
@@ -93,7 +96,10 @@ def oov_rates(
     found = F.count_if("known")
     small = vocab.count() <= broadcast_limit
     if not small:
-        counts = words.where(has_token).groupBy("token").agg(F.count("*").alias("n"))
+        slots, n_words = known_slots(known, broadcast_limit)
+        slots = materialise(slots, "vocabulary_slots")
+        placed = words.where(has_token).withColumn("_word", _word(n_words)).join(F.broadcast(slots), "_word")
+        counts = placed.where(f"_yes & {SLOT} != 0").groupBy("token").agg(F.count("*").alias("n"))
         counts = materialise(counts.join(known, "token", "left"), "token_counts")
         known = counts.where("known").select("token", "known")
         small = known.count() <= broadcast_limit
@@ -102,13 +108,13 @@ def oov_rates(
             found.alias("_known"), F.count_if(has_token).alias("n_tokens")
         )
     else:
-        slots, n_words = known_slots(counts, broadcast_limit)
-        slots = materialise(slots, "known_slots")
+        # As many words as before, so that a token without a known one in its slot has no bit of ``_yes`` here either.
+        slots = materialise(known_slots(counts, words=n_words)[0], "known_slots")
         held = counts.withColumn("_word", _word(n_words)).join(F.broadcast(slots), "_word")
         unsure = materialise(held.where(f"_yes & _no & {SLOT} != 0").select("token", "n", "known"), "unsure_tokens")
         often = unsure if unsure.count() <= broadcast_limit else frequent(unsure, broadcast_limit)
         told = words.withColumn("_word", _word(n_words)).join(F.broadcast(slots), "_word", "left").select(
-            key, *keep, "token", F.expr(f"_no & {SLOT} = 0").alias("_sure"),
+            key, *keep, "token", F.expr(f"_yes & ~_no & {SLOT} != 0").alias("_sure"),
             F.expr(f"if(_yes & _no & {SLOT} != 0, token, null)").alias("_unsure"),
         )
         looked = F.broadcast(often.select(F.col("token").alias("_unsure"), "known", F.lit(True).alias("_often")))
