@@ -49,13 +49,21 @@ def _append(stream: DataFrame, path: str, checkpoint: str | None, trigger: dict)
 @contextmanager
 def _rocks(spark: SparkSession):
     """Queries started inside keep their state in RocksDB, which keyed state with timers needs."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    prefix = "spark.sql.streaming.stateStore."
+    wanted = {
+        f"{prefix}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # Of all stores of an executor together; without it each has caches and buffers of its own.
+        f"{prefix}rocksdb.boundedMemoryUsage": "true",
+        f"{prefix}rocksdb.maxMemoryUsageMB": "256",
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:

@@ -12,8 +12,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 CARRIED = (
     "version string, approved_by string, seq bigint, micros bigint, metric_label string, score double, margin double, floor double"
 )
-#: Waiting requests are kept by slices of this many milliseconds: one value and one timer for each.
+#: Waiting requests are kept by slices of this many milliseconds: some values and one timer for each.
 SLICE = 600_000
+#: So many new requests of a model are held before they are written to its state.
+HELD = 200_000
 NAMES = [c.strip().split(" ")[0] for c in CARRIED.split(",")]
 OUTPUT = (
     f"model string, {CARRIED}, incumbent_version string, incumbent_score double, "
@@ -28,12 +30,14 @@ class PromotionProcessor(StatefulProcessor):
     their millisecond; timers fire in order, so each slice meets the incumbent that all earlier ones left, and what the
     watermark has not reached of a slice waits for a new timer. Slices are removed as they are settled, so the state
     holds what came within the delay, and one row for the incumbent. The calls to the state grow with slices, not rows.
+    A task holds ``HELD`` new requests, or those of one slice: a slice is written in parts, and part -1 has the time of
+    its timer and the number of parts.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.incumbent = handle.getValueState("incumbent", "version string, score double")
-        self.waiting = handle.getMapState("waiting", "slice bigint", f"requests array<struct<{CARRIED.replace(' ', ': ').replace(',:', ',')}>>")
+        self.waiting = handle.getMapState("waiting", "slice bigint, part bigint", f"first bigint, parts bigint, requests array<struct<{CARRIED.replace(' ', ': ').replace(',:', ',')}>>")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.incumbent.update((initialState.incumbent_version, initialState.incumbent_score))
@@ -42,7 +46,7 @@ class PromotionProcessor(StatefulProcessor):
         return Row(*OUTPUT_NAMES)(key[0], *carried, *incumbent, static, late)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        mark, new = timerValues.getCurrentWatermarkInMs(), {}
+        mark, new, held = timerValues.getCurrentWatermarkInMs(), {}, 0
         for row in rows:
             if row["_tick"]:
                 continue
@@ -55,29 +59,41 @@ class PromotionProcessor(StatefulProcessor):
                 yield self._row(key, carried, static=row["_static"])
             else:
                 new.setdefault(ms // SLICE, []).append(carried)
-        for part, requests in new.items():
-            first = min(map(_ms, requests))
-            if self.waiting.containsKey((part,)):
-                before = [tuple(r) for r in self.waiting.getValue((part,))[0]]
-                known = min(map(_ms, before))
+                held += 1
+                if held == HELD:
+                    self._keep(new)
+                    new, held = {}, 0
+        self._keep(new)
+
+    def _keep(self, new: dict[int, list[tuple]]) -> None:
+        for at, requests in new.items():
+            first, parts = min(map(_ms, requests)), 0
+            if self.waiting.containsKey((at, -1)):
+                known, parts = tuple(self.waiting.getValue((at, -1)))[:2]
                 if first < known:
                     self.handle.deleteTimer(known)
                     self.handle.registerTimer(first)
-                requests = before + requests
+                first = min(first, known)
             else:
                 self.handle.registerTimer(first)
-            self.waiting.updateValue((part,), (requests,))
+            self.waiting.updateValue((at, parts), (0, 0, requests))
+            self.waiting.updateValue((at, -1), (first, parts + 1, []))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at = expiredTimerInfo.getExpiryTimeInMs()
         mark, part = max(at, timerValues.getCurrentWatermarkInMs()), at // SLICE
-        requests = sorted((tuple(r) for r in self.waiting.getValue((part,))[0]), key=_order)
+        parts = tuple(self.waiting.getValue((part, -1)))[1]
+        requests = sorted((tuple(r) for i in range(parts) for r in tuple(self.waiting.getValue((part, i)))[2]), key=_order)
         due = [r for r in requests if _ms(r) <= mark]
-        if len(due) < len(requests):
-            self.waiting.updateValue((part,), (requests[len(due):],))
-            self.handle.registerTimer(_ms(requests[len(due)]))
+        rest = requests[len(due):]
+        for i in range(1 if rest else 0, parts):
+            self.waiting.removeKey((part, i))
+        if rest:
+            self.waiting.updateValue((part, 0), (0, 0, rest))
+            self.waiting.updateValue((part, -1), (_ms(rest[0]), 1, []))
+            self.handle.registerTimer(_ms(rest[0]))
         else:
-            self.waiting.removeKey((part,))
+            self.waiting.removeKey((part, -1))
         start = incumbent = tuple(self.incumbent.get()) if self.incumbent.exists() else (None, None)
         for carried in due:
             yield self._row(key, carried, incumbent)
